@@ -5,8 +5,9 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from paperloom.llm import chat, mixing, quality
+from paperloom.llm import chat, line_dedup, mixing, packing, quality, simhash, url_filter, warc
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -25,11 +26,37 @@ def op7_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
     return chat.format_chats(table(spark, sf_dir, "conversations"))
 
 
+def op3_warc_read(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return warc.pages_through_warc(table(spark, sf_dir, "pages"))
+
+
+def op4_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
+    pages = table(spark, sf_dir, "pages")
+    return url_filter.filter_urls(pages, url_filter.default_list(pages))
+
+
+def op6_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return line_dedup.line_dedup(table(spark, sf_dir, "documents"))
+
+
+def op9_simhash_near_dup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Pairs: each document that goes, and the one of its group that stays."""
+    gone = simhash.duplicates(table(spark, sf_dir, "documents"))
+    name = lambda c: F.nullif(c, F.lit((1 << 63) - 1))
+    return gone.select(name(F.col("id")).alias("doc_id"), name(F.col("keep_id")).alias("duplicate_of"))
+
+
+def op10_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return packing.pack(table(spark, sf_dir, "documents"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op2_mix_sources, op7_chat_format, op8_quality_rules)
+    f.__name__: f for f in (op2_mix_sources, op3_warc_read, op4_url_filter, op6_line_dedup, op7_chat_format, op8_quality_rules, op9_simhash_near_dup, op10_best_fit_packing)
 }
 ORACLES: dict[str, str] = {
     "op2_mix_sources": mixing.sql(),
+    "op3_warc_read": warc.sql(),
+    "op4_url_filter": url_filter.sql(),
     "op7_chat_format": chat.sql(),
     "op8_quality_rules": quality.sql(),
 }
