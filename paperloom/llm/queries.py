@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from paperloom.llm import chat, line_dedup, mixing, packing, quality, simhash, url_filter, warc
+from paperloom.llm import chat, line_dedup, mixing, packing, quality, simhash, stream_dedup, url_filter, warc
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -35,6 +35,10 @@ def op4_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     return url_filter.filter_urls(pages, url_filter.default_list(pages))
 
 
+def op5_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return stream_dedup.dedup(spark, f"{sf_dir}/documents.parquet")
+
+
 def op6_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return line_dedup.line_dedup(table(spark, sf_dir, "documents"))
 
@@ -51,12 +55,13 @@ def op10_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op2_mix_sources, op3_warc_read, op4_url_filter, op6_line_dedup, op7_chat_format, op8_quality_rules, op9_simhash_near_dup, op10_best_fit_packing)
+    f.__name__: f for f in (op2_mix_sources, op3_warc_read, op4_url_filter, op5_exact_dedup, op6_line_dedup, op7_chat_format, op8_quality_rules, op9_simhash_near_dup, op10_best_fit_packing)
 }
 ORACLES: dict[str, str] = {
     "op2_mix_sources": mixing.sql(),
     "op3_warc_read": warc.sql(),
     "op4_url_filter": url_filter.sql(),
+    "op5_exact_dedup": stream_dedup.sql(),
     "op7_chat_format": chat.sql(),
     "op8_quality_rules": quality.sql(),
 }
