@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from paperloom.llm import chat, line_dedup, mixing, packing, quality, simhash, stream_dedup, url_filter, warc
+from paperloom.llm import chat, line_dedup, mixing, packing, quality, simhash, stream_dedup, url_filter, warc, wrappers
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -18,6 +18,10 @@ def op8_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.quality_filter(table(spark, sf_dir, "documents"))
 
 
+def op1_html_extract(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return wrappers.extract(table(spark, sf_dir, "pages"))
+
+
 def op2_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix(table(spark, sf_dir, "documents"), copy_column="copy_no")
 
@@ -55,7 +59,7 @@ def op10_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op2_mix_sources, op3_warc_read, op4_url_filter, op5_exact_dedup, op6_line_dedup, op7_chat_format, op8_quality_rules, op9_simhash_near_dup, op10_best_fit_packing)
+    f.__name__: f for f in (op1_html_extract, op2_mix_sources, op3_warc_read, op4_url_filter, op5_exact_dedup, op6_line_dedup, op7_chat_format, op8_quality_rules, op9_simhash_near_dup, op10_best_fit_packing)
 }
 ORACLES: dict[str, str] = {
     "op2_mix_sources": mixing.sql(),
