@@ -19,11 +19,11 @@ from paperloom.llm.common import ROW, join_sized, materialise, packed, token_cou
 
 #: metric -> (least slack below the lower quartile, above the upper one); None: no cutoff on that side.
 METRICS = {
-    "symbols": (None, 102),
+    "symbols": (None, 61),
     "uppers": (None, 102),
     "word_len": (24, 32),
     "unique": (256, None),
-    "repeated_lines": (None, 307),
+    "repeated_lines": (None, 512),
 }
 SPREAD = 4
 MIN_WORDS = 20
@@ -42,7 +42,7 @@ def metrics(text: Column, words: Column) -> dict[str, Column]:
     lines = F.split(text, "\n")
     share = lambda a, b: F.call_function("div", a.cast("bigint") * 1024, b.cast("bigint"))
     return {
-        "symbols": share(left("[\\p{L} \\t\\n\\r]+"), n),
+        "symbols": share(left("[\\p{L}\\p{N} \\t\\n\\r]+"), n),
         "uppers": share(left("[^\\p{Lu}]+"), n),
         "word_len": F.call_function("div", left("[ \\t\\n\\r]+") * 16, w),
         "unique": share(F.size(F.array_distinct(F.split(F.regexp_replace(text, "^[ \\t\\n\\r]+|[ \\t\\n\\r]+$", ""), "[ \\t\\n\\r]+"))), w),
@@ -97,7 +97,7 @@ def quality_filter(docs: DataFrame, spread: int = SPREAD, min_words: int = MIN_W
 
 
 _M = {
-    "symbols": "length(regexp_replace(text, '[\\p{L} \\t\\n\\r]+', '', 'g'))::BIGINT * 1024 // greatest(length(text), 1)",
+    "symbols": "length(regexp_replace(text, '[\\p{L}\\p{N} \\t\\n\\r]+', '', 'g'))::BIGINT * 1024 // greatest(length(text), 1)",
     "uppers": "length(regexp_replace(text, '[^\\p{Lu}]+', '', 'g'))::BIGINT * 1024 // greatest(length(text), 1)",
     "word_len": "length(regexp_replace(text, '[ \\t\\n\\r]+', '', 'g'))::BIGINT * 16 // greatest(words, 1)",
     "unique": "len(list_distinct(regexp_extract_all(text, '[^ \\t\\n\\r]+')))::BIGINT * 1024 // greatest(words, 1)",
