@@ -54,9 +54,9 @@ def sketches(docs: DataFrame, min_words: int = MIN_WORDS) -> DataFrame:
     """(lang, source, metric, bucket, n): one mergeable sketch per language, source and metric."""
     words = token_count(F.col("text"))
     rows = docs.select(F.coalesce("lang", F.lit("")).alias("lang"), F.coalesce("source", F.lit("")).alias("source"), "text", words.alias("words")).where(F.col("words") >= min_words)
-    rows = rows.select("lang", "source", *[bucket(c).alias(k) for k, c in metrics(F.col("text"), F.col("words")).items()])
-    rows = rows.select("lang", "source", F.explode(F.array(*[F.struct(F.lit(k).alias("metric"), F.col(k).alias("bucket")) for k in METRICS])).alias("m"))
-    return rows.groupBy("lang", "source", "m.metric", "m.bucket").agg(F.count(F.lit(1)).alias("n"))
+    rows = rows.select("lang", "source", F.explode(F.array(*[F.struct(F.lit(k).alias("metric"), c.alias("value")) for k, c in metrics(F.col("text"), F.col("words")).items()])).alias("m"))
+    rows = rows.select("lang", "source", "m.metric", bucket(F.col("m.value")).alias("bucket"))
+    return rows.groupBy("lang", "source", "metric", "bucket").agg(F.count(F.lit(1)).alias("n"))
 
 
 def thresholds(sketch: DataFrame, spread: int = SPREAD, min_docs: int = MIN_DOCS) -> DataFrame:
@@ -86,10 +86,13 @@ def quality_filter(docs: DataFrame, spread: int = SPREAD, min_words: int = MIN_W
     """Documents that break none of their group's fences, with their columns as they came."""
     cuts = thresholds(sketches(docs, min_words), spread, min_docs)
     rows = packed(docs, __lang=F.coalesce("lang", F.lit("")), __source=F.coalesce("source", F.lit("")), __words=token_count(F.col("text"))).where(F.col("__words") > 0)
+    # a generator keeps the metrics apart from the filter, which would work them out again for each fence
+    ms = F.struct(*[c.alias(k) for k, c in metrics(F.col(f"{ROW}.text"), F.col("__words")).items()])
+    rows = rows.select(ROW, "__lang", "__source", "__words", F.explode(F.array(ms)).alias("__m"))
     joined = join_sized(rows, cuts, ["__lang", "__source"], "left")
     sound = F.lit(True)
-    for k, m in metrics(F.col(f"{ROW}.text"), F.col("__words")).items():
-        b = bucket(m)
+    for k in METRICS:
+        b = bucket(F.col(f"__m.{k}"))
         for side, ok in ((0, b >= F.col(f"__cut.lo_{k}")), (1, b <= F.col(f"__cut.hi_{k}"))):
             if METRICS[k][side] is not None:
                 sound = sound & ok
