@@ -1 +1,6 @@
-"""plans of the engine."""
+"""All queries of the engine, and the SQL that checks them."""
+
+from paperloom.plans import layout_queries, text_queries
+from paperloom.plans.registry import ORACLES, QUERIES
+
+__all__ = ["ORACLES", "QUERIES", "layout_queries", "text_queries"]
