@@ -4,7 +4,7 @@ Lines are hashed; a hash found in two or more documents is shared. Shared lines
 pairs: a rare one (at most ``rare`` occurrences) pairs all its documents, a frequent one pairs each of its documents
 with the first that has it, so that the pairs grow with the occurrences and no line is left out. Each pair is aligned
 with patience diff on its shared lines, and runs of aligned lines that stand together in both and hold ``min_words``
-tokens are deleted from the later document. The first document with a line keeps it always.
+tokens are deleted from the later document; what they leave is aligned again. The first document with a line keeps it always.
 
 Documents are ordered by id, null ids last, equal ids by a hash of the text. Defined results: rows equal in id and text
 are one document, so they lose the same lines. Null and empty texts pass unchanged; so do blank lines outside deleted
@@ -72,22 +72,33 @@ def patience(a: list[int], b: list[int]) -> list[tuple[int, int]]:
     return sorted(found)
 
 
-def aligned_blocks(early: list[tuple[int, int]], late: list[tuple[int, int, int]], min_words: int) -> list[int]:
-    """Positions of the later document in aligned blocks. early: (position, hash); late: (position, hash, tokens)."""
-    out: list[int] = []
-    run: list[int] = []
+def _blocks(early: list[tuple[int, int]], late: list[tuple[int, int, int]], min_words: int) -> list[tuple[int, int]]:
+    """Positions (early, late) in the aligned runs of one alignment that hold enough tokens."""
+    out: list[tuple[int, int]] = []
+    run: list[tuple[int, int]] = []
     words, before = 0, (-2, -2)
     for x, y in patience([h for _, h in early], [h for _, h, _ in late]):
         here = (early[x][0], late[y][0])
         if here != (before[0] + 1, before[1] + 1):
             out += run if words >= min_words else []
             run, words = [], 0
-        run.append(here[1])
+        run.append(here)
         words += late[y][2]
         before = here
     return out + (run if words >= min_words else [])
 
 
+def aligned_blocks(early: list[tuple[int, int]], late: list[tuple[int, int, int]], min_words: int) -> list[int]:
+    """Positions of the later document in aligned blocks. early: (position, hash); late: (position, hash, tokens). What a
+    block leaves is aligned again, as blocks may stand in another order."""
+    out: list[int] = []
+    while found := _blocks(early, late, min_words):
+        used, gone = {x for x, _ in found}, {y for _, y in found}
+        out += gone
+        early, late = [e for e in early if e[0] not in used], [e for e in late if e[0] not in gone]
+    return out
+
+
 def _align(min_words: int):
     def aligned(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -95,8 +106,6 @@ def _align(min_words: int):
             c = {n: batch.column(n) for n in batch.schema.names}
             lists = {n: (c[n].offsets.to_pylist(), c[n].values.to_pylist()) for n in ("early_pos", "early_hash", "late_pos", "late_hash", "late_words")}
             at = lambda n, i: lists[n][1][lists[n][0][i] - lists[n][0][0] : lists[n][0][i + 1] - lists[n][0][0]]
-            base = {n: v[0][0] for n, v in lists.items()}
-            del base
             for i, (k, h) in enumerate(zip(c["id"].to_pylist(), c["h"].to_pylist(), strict=True)):
                 lost = aligned_blocks(list(zip(at("early_pos", i), at("early_hash", i), strict=True)), list(zip(at("late_pos", i), at("late_hash", i), at("late_words", i), strict=True)), min_words)
                 if lost:
