@@ -124,3 +124,17 @@ def envelope(df: DataFrame, make, record_id: str = "recordId") -> DataFrame:
     """(recordId, data, errors): a row for each row; ``make`` gives a column and the reason why it is null, if so."""
     data, reason = make(df)
     return df.select(record_id, data.alias("data"), F.when(data.isNull(), F.array(F.struct(F.coalesce(reason, F.lit("no result")).alias("message")))).otherwise(F.array().cast("array<struct<message:string>>")).alias("errors"))
+
+
+def heal(incomplete, run, most: int = 3) -> int:
+    """Run again what is incomplete, up to ``most`` times or until nothing is or a pass changes nothing; the number that is left.
+    ``incomplete()`` gives a DataFrame, ``run`` takes one."""
+    left = None
+    for _ in range(most):
+        todo = incomplete()
+        n = todo.count()
+        if n == 0 or n == left:
+            return n
+        left = n
+        run(todo)
+    return incomplete().count()

@@ -5,8 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from paperloom.functions import markers
-from paperloom.operators import pages, tables
+from paperloom.functions import markers, text
+from paperloom.operators import layout, pages, tables
 from paperloom.plans.registry import query
 from paperloom.sources.tables import Made
 
@@ -195,3 +195,42 @@ def table_split(spark: SparkSession, d: str) -> DataFrame:
     rows = Made("lineitem", ("l_orderkey", "l_partkey", "l_suppkey", "transform(sequence(1L, 2 + l_partkey % 60), i -> repeat('x', CAST((i * 37 + l_suppkey) % 400 + 1 AS INT))) AS rs"), "l_linenumber = 1").df(spark, d)
     parts = tables.split_rows(F.col("rs"), F.lit(46), 3000)
     return rows.select("l_orderkey", "l_partkey", "l_suppkey", F.transform(parts, lambda p: F.size(p).cast("bigint")).alias("sizes"))
+
+
+_COVERS = Made("lineitem", ("l_suppkey AS doc", "CAST(l_linenumber AS INT) AS page", "l_orderkey * 8 + l_linenumber AS pos", "CASE l_partkey % 9 WHEN 0 THEN concat('Revision ', l_orderkey, '.') WHEN 1 THEN concat('Publication No. PB-', l_orderkey) WHEN 2 THEN concat('May ', 2000 + l_orderkey % 30) ELSE 'words' END AS content"), "l_suppkey % 2 = 0")
+
+
+@query(
+    f"""SELECT doc, coalesce(arg_min(r, (pos, r)) FILTER (r <> ''), '') AS document_revision, coalesce(arg_min(n, (pos, n)) FILTER (n <> ''), '') AS document_number, coalesce(arg_min(d, (pos, d)) FILTER (d <> ''), '') AS effective_date FROM
+    (SELECT doc, min(pos) AS pos, r, n, d FROM (SELECT doc, pos, rtrim(regexp_extract(content, '{text.REVISION}', 1), '.,;:') AS r, rtrim(regexp_extract(content, '{text.DOC_NUMBER}', 1), '.,;:') AS n, CASE WHEN content LIKE 'May %' THEN substr(content, 5) || '-05' ELSE '' END AS d
+    FROM {_COVERS.sql()} WHERE page BETWEEN 1 AND 3) GROUP BY doc, r, n, d) GROUP BY doc"""
+)
+def cover_metadata(spark: SparkSession, d: str) -> DataFrame:
+    return layout.cover_metadata(_COVERS.df(spark, d))
+
+
+_KINDS = Made("lineitem", ("l_orderkey AS table_id", "CAST(l_linenumber - 1 AS INT) AS r", "CASE WHEN (l_partkey + l_linenumber) % 3 > 0 AND l_linenumber < 4 THEN 'columnHeader' ELSE 'content' END AS kind"))
+
+
+@query(
+    f"""WITH s AS (SELECT table_id, r, count_if(kind = 'columnHeader') * 2 >= count(*) AS h FROM {_KINDS.sql()} GROUP BY 1, 2)
+    SELECT table_id, greatest(coalesce(min(CASE WHEN NOT h THEN r END), max(r) + 1), 1)::INT AS header_rows FROM s GROUP BY table_id"""
+)
+def table_header_rows(spark: SparkSession, d: str) -> DataFrame:
+    return tables.header_rows(_KINDS.df(spark, d))
+
+
+_LABELLED = Made("lineitem", ("l_orderkey * 10 + l_linenumber AS key", "concat('Chapter ', l_suppkey, chr(10), 'some text', chr(10), CASE l_partkey % 4 WHEN 0 THEN concat('Page ', l_linenumber, '-', l_suppkey % 40) WHEN 1 THEN concat('A-', l_suppkey % 90) WHEN 2 THEN concat('- ', l_partkey % 400, ' -') ELSE 'xiv' END) AS t", "CASE l_partkey % 4 WHEN 0 THEN concat(l_linenumber, '-', l_suppkey % 40) WHEN 1 THEN concat('A-', l_suppkey % 90) WHEN 2 THEN CAST(l_partkey % 400 AS STRING) ELSE 'xiv' END AS label"))
+
+
+@query(f"SELECT key, label FROM {_LABELLED.sql()}")
+def printed_label(spark: SparkSession, d: str) -> DataFrame:
+    return _LABELLED.df(spark, d).select("key", text.printed_label(F.col("t")).alias("label"))
+
+
+_ANCHORED = Made("part", ("p_partkey AS key", "concat(repeat('w ', 150), 'Figure ', p_size, ' shows ', p_name, ' ', repeat('z ', 150)) AS section", "concat('Figure ', p_size, ' shows') AS anchor"))
+
+
+@query(f"SELECT key, trim(substr(section, 301 - 60, 60)) || ' [...] ' || trim(substr(section, 301 + length(anchor), 60)) AS around FROM {_ANCHORED.sql()}")
+def surrounding_text(spark: SparkSession, d: str) -> DataFrame:
+    return _ANCHORED.df(spark, d).select("key", text.surrounding_text(F.col("section"), F.col("anchor"), 60).alias("around"))

@@ -196,3 +196,36 @@ def test_every_query_is_registered():
 
     queries, oracles = __spark_entry__.queries(), __spark_entry__.oracle_sql()
     assert set(oracles) <= set(queries) and len(queries) > 60
+
+
+def test_layout(spark):
+    from paperloom.operators import layout
+    from paperloom.schemas import LAYOUT_DDL
+
+    poly = [1.0, 1.0, 3.0, 1.0, 3.0, 2.0, 1.0, 2.0]
+    data = {
+        "doc": "d",
+        "pages": [{"pageNumber": 1, "width": 816.0, "height": 1056.0, "unit": "pixel", "words": [{"confidence": 0.95}, {"confidence": 0.62}]}, {"pageNumber": 2, "words": None}],
+        "paragraphs": [_p("Rev 5.02", 1, "", poly), _p("Document No. MX-1", 2), _p("March 26, 2024", 2), _p("Rev 9", 50), _p("- 5-7 -", 2, "pageFooter"), _p("refers", 2, "pageNumber"), {"content": "nowhere"}],
+        "figures": [{"id": None, "caption": {"content": " Cap "}, "boundingRegions": [{"pageNumber": 1}, {"pageNumber": 2, "polygon": poly}]}, {"id": "x", "boundingRegions": [{"pageNumber": 1, "polygon": [1.0]}]}],
+    }
+    df = spark.createDataFrame([data], f"doc string, {LAYOUT_DDL}")
+    assert [tuple(r)[:4] + (r["caption"],) for r in layout.figures(df).collect()] == [("d", 0, "fig_0", 2, "Cap")]
+    ps = layout.paragraphs(df)
+    assert [r["x_in"] for r in ps.orderBy("pos").collect()][:2] == [1.0, None]
+    assert tuple(layout.cover_metadata(ps).first()) == ("d", "5.02", "MX-1", "2024-03-26")
+    assert [tuple(r) for r in layout.furniture_labels(ps).collect()] == [("d", 2, "5-7")]
+    assert [tuple(r) for r in layout.page_sizes(df).collect()] == [("d", 1, 8.5, 11.0), ("d", 2, 8.5, 11.0)]
+    assert [tuple(r) for r in layout.least_confidence(df).collect()] == [("d", 1, 0.62), ("d", 2, None)] and layout.total_pages(df).first()[1] == 2
+    box = df.select(layout.whole_page_box(F.lit(3), F.lit(None).cast("double"), F.lit(11.0)).alias("b")).first()["b"]
+    assert [tuple(b) for b in box] == [(3, 0.0, 0.0, 8.5, 11.0)]
+    hints = dict.fromkeys(("schematic_wiring", "nameplate", "block_flow", "parts_exploded", "default"), "look") | {"nameplate": "read the plate"}
+    prompt = df.select(layout.vision_prompt(F.lit("m.pdf"), F.lit(""), F.lit(4), F.lit("Rating plate"), F.lit('see Figure 4-2 "x"'), hints).alias("p")).first()["p"]
+    assert "Section: (none)" in prompt and "Mentioned as: Figure 4-2" in prompt and "Hint: read the plate" in prompt and "'x'" in prompt
+
+
+def test_healing(spark):
+    left = [3, 1, 1]
+    runs = []
+    n = upkeep.heal(lambda: spark.range(left[min(len(runs), 2)]), lambda df: runs.append(df.count()), 5)
+    assert n == 1 and runs == [3, 1]
