@@ -22,7 +22,9 @@ EQUATION = f"(?i)\\b(Eq(?:uation|\\.)?)\\s*[-:]?\\s*{REF_ID}"
 SECTION = "(?i)(?:Sec(?:tion|\\.)?|§)\\s*(\\d+(?:[-.]\\d+){0,3})\\b"
 PAGE = f"(?i)\\b(?:pages?|pp?\\.?)\\s+{REF_ID}"
 CALLOUT = "(?i)\\b(DANGER|WARNING|CAUTION|NOTICE|NOTE)\\b[\\s:–—-]+([^\\n]{1,200})"
-EQUIPMENT = "\\b[A-Z]{2,5}-(?:[A-Z0-9]{1,8}-){0,3}[A-Z0-9]{0,8}[0-9][A-Z0-9-]{0,8}\\b"
+_ALNUM = "[0-9A-Z]"
+#: Letters, then groups after hyphens, the last of which has a digit; bounded, so that matching stays linear.
+EQUIPMENT = f"\\b[A-Z]{{2,5}}-(?:{_ALNUM}{{1,8}}-){{0,3}}{_ALNUM}{{0,8}}\\d[0-9A-Z-]{{0,8}}\\b"
 NUMBER_MARKER = '(?i)<!--\\s*PageNumber\\s*=\\s*"([^"]*)"\\s*-->'
 BREAK_MARKER = "(?i)<!--\\s*PageBreak\\s*-->"
 MARKER = '(?i)<!--\\s*Page(?:Number\\s*=\\s*"[^"]*"|Break)\\s*-->'
