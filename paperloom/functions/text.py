@@ -80,10 +80,13 @@ def equipment_ids(text: Column) -> Column:
     return _refs(text, EQUIPMENT, 0)
 
 
+NOT_ALNUM = "[^0-9A-Za-z]+"
+
+
 def figure_key(ref: Column) -> Column:
     """What figure references are joined on: the identifier without its separators, in lower case."""
     bare = F.regexp_replace(F.coalesce(ref, F.lit("")), "(?i)\\bfig(?:ure)?\\.?\\s*[-:]?\\s*", "")
-    return F.lower(F.regexp_replace(bare, "[^A-Za-z0-9]+", ""))
+    return F.lower(F.regexp_replace(bare, NOT_ALNUM, ""))
 
 
 def callouts(text: Column) -> Column:
@@ -102,7 +105,7 @@ def without_markers(text: Column) -> Column:
     return F.regexp_replace(text, U + MARKER, "")
 
 
-# -- normalising ----------------------------------------------------------------------------------------------------
+# -- normalising --
 
 _QUOTES = dict.fromkeys("‘’‚‛′", "'") | dict.fromkeys("“”„‟″", '"')
 _DASHES = dict.fromkeys("–—−", "-")
@@ -146,7 +149,7 @@ def normalize_text(text: Column) -> Column:
     t = F.regexp_replace(F.coalesce(text, F.lit("")), "(?s)<!--.*?-->", " ")
     t = F.regexp_replace(t, "(?m)^\\s*#{1,6}\\s*", " ")
     t = F.regexp_replace(t, "(?m)^\\s*[*+-]\\s+", " ")
-    return F.lower(F.trim(F.regexp_replace(t, "[^A-Za-z0-9]+", " ")))
+    return F.lower(F.trim(F.regexp_replace(t, NOT_ALNUM, " ")))
 
 
 def norm_header(text: Column) -> Column:
@@ -159,7 +162,7 @@ def caption_form(text: Column) -> Column:
     return F.regexp_replace(_translate(F.coalesce(text, F.lit("")), table, "\u200b\u00ad"), f"{U}\\s+", " ")
 
 
-# -- running headers and footers, inline tables ---------------------------------------------------------------------
+# -- running headers and footers, inline tables --
 
 MONTHS = ("january", "february", "march", "april", "may", "june", "july", "august", "september", "october", "november", "december")
 #: Each month's name, or its first three letters ('sept' as well).
@@ -220,7 +223,7 @@ def surrounding_text(section: Column, anchor: Column, chars: int = 200) -> Colum
     return F.coalesce(around(cleaned, a), around(folded, folded_anchor), by_probe, strip(F.substring(cleaned, 1, 2 * chars)))
 
 
-# -- classes of chunks ----------------------------------------------------------------------------------------------
+# -- classes of chunks --
 
 LEADER = "^.{4,200}?(?:\\.\\s*){3,}\\s*[\\dA-Z][\\w.-]{0,8}\\s*$"
 POINTER = "^.{4,}?\\s+[A-Z]?\\d[\\w.-]{0,8}(?:\\s*,\\s*[A-Z]?\\d[\\w.-]{0,8})*\\s*$"
@@ -245,7 +248,7 @@ def is_glossary(text: Column, *headers: Column) -> Column:
     return by_header | (F.regexp_count(F.coalesce(text, F.lit("")), pattern(GLOSSARY_LINE)) >= 3)
 
 
-STOPWORDS = {"en": ("the", "and", "of", "for", "with", "is"), "es": ("el", "la", "los", "las", "que", "para"), "fr": ("le", "la", "les", "des", "pour", "avec")}
+STOPWORDS = {"en": "and for is of the with".split(), "es": "el la las los para que".split(), "fr": "avec des la le les pour".split()}
 
 
 def detect_language(text: Column) -> Column:
@@ -281,7 +284,7 @@ def guess_category(caption: Column, around: Column) -> Column:
     return out.otherwise("default")
 
 
-# -- dates, revisions, numbers --------------------------------------------------------------------------------------
+# -- dates, revisions, numbers --
 
 ISO_DATE = "\\b(\\d{4})[/-](\\d{1,2})[/-](\\d{1,2})\\b"
 DAY_DATE = f"(?i)\\b({MONTH})\\s+(\\d{{1,2}}),?\\s+(\\d{{4}})\\b"
@@ -311,7 +314,7 @@ def document_number(text: Column) -> Column:
     return F.regexp_replace(F.regexp_extract(F.coalesce(text, F.lit("")), U + DOC_NUMBER, 1), "[.,;:]+$", "")
 
 
-# -- printed page labels --------------------------------------------------------------------------------------------
+# -- printed page labels --
 
 ROMAN = "[ivxlcdm]+"
 VALID_LABEL = f"(?i)\\A(?:{ROMAN}|[A-Z]{{0,4}}[.-]?\\d{{1,4}}(?:[.-]\\d{{1,4}}){{0,2}})\\z"
@@ -332,7 +335,7 @@ def printed_label(text: Column) -> Column:
     cand = candidate_lines(text)
     get = lambda p, g=1: F.transform(cand, lambda x: F.regexp_extract(x, U + p, g))
     first = lambda found, ok=is_valid_label: F.get(F.filter(found, lambda x: (x != "") & ok(x)), F.lit(0))
-    listing = "(?i)\\b(TOC|Index|Form|Fig|Table|App)[-\\s]?(\\d{1,4})\\b"
+    listing = "(?i)\\b(App|Fig|Form|Index|Table|TOC)[-\\s]?(\\d{1,4})\\b"
     dashes = "[–—\\s-]*"
     return F.coalesce(
         first(get("(?i)\\bpage\\s+([A-Za-z0-9.-]{1,8})\\b")),

@@ -66,7 +66,7 @@ def with_retries(call: Callable[[str], dict], most: int = 3, shortest: int = 20)
 
 def extract_json(text: str) -> dict | None:
     """The object in a model's answer, with or without a fence or words round it."""
-    t = re.sub(r"^```(?:json)?|`+$", "", (text or "").strip()).strip()
+    t = (text or "").strip().strip("`").removeprefix("json").strip()
     for part in (t, *(m.group(0) for m in [re.search(r"\{.*\}", t, re.S)] if m)):
         try:
             return json.loads(part)

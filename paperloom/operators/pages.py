@@ -6,6 +6,9 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 
+BOX = [f"{side}_in" for side in "xywh"]
+
+
 def _spread(sections: DataFrame) -> DataFrame:
     """A row for each page of each section: an interval join becomes one on equal keys."""
     rank = F.struct(F.coalesce("is_orphan", F.lit(False)).cast("int").alias("orphan"), (F.col("page_end") - F.col("page_start")).alias("span"), (-F.col("section_idx")).alias("turned"))
@@ -121,4 +124,4 @@ def chunk_boxes(chunks: DataFrame, paragraphs: DataFrame) -> DataFrame:
     p = paragraphs.where("raw_length >= 40 AND length(normal) >= 40 AND page > 0 AND x_in IS NOT NULL")
     c = chunks.select("key", "doc", F.col("normal").alias("chunk"))
     hit = F.contains("chunk", F.substring("normal", 1, 120)) & ((F.length("normal") < 200) | F.contains("chunk", F.substring("normal", 101, 100)))
-    return c.join(p, "doc").where(hit).select("key", "page", "x_in", "y_in", "w_in", "h_in")
+    return c.join(p, "doc").where(hit).select("key", "page", *BOX)

@@ -13,7 +13,7 @@ from paperloom.operators.figures import cosine
 K1, B = 1.2, 0.75
 WORD = "[a-z0-9äöüßéèêàçôûùîïñáíóúœ]+"
 
-# -- filter expressions ---------------------------------------------------------------------------------------------
+# -- filter expressions --
 
 _LEX = re.compile(r"\s*(?:(?P<str>'(?:[^']|'')*')|(?P<num>-?\d+(?:\.\d+)?(?![\w:-]))|(?P<time>\d{4}-\d\d-\d\d(?:T[\d:.]+Z?)?)|(?P<name>[A-Za-z_][\w./]*)|(?P<sign>[(),:]))")
 _COMPARE = {"eq": "__eq__", "ne": "__ne__", "lt": "__lt__", "le": "__le__", "gt": "__gt__", "ge": "__ge__"}
@@ -148,7 +148,7 @@ def safe_token(value: str) -> str:
     return value if re.fullmatch(r"[\w-]+", value or "", re.ASCII) else ""
 
 
-# -- facets ---------------------------------------------------------------------------------------------------------
+# -- facets --
 
 
 def facet(df: DataFrame, name: str, top: int | None = 10) -> DataFrame:
@@ -159,7 +159,7 @@ def facet(df: DataFrame, name: str, top: int | None = 10) -> DataFrame:
     return counts.limit(top) if top else counts
 
 
-# -- scoring --------------------------------------------------------------------------------------------------------
+# -- scoring --
 
 
 def terms(text: Column) -> Column:

@@ -13,6 +13,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 REF = re.compile(r"^/(paragraphs|sections)/(\d+)$")
+NUMBERED = re.compile(r"[0-9]+(?:[.][0-9]+){0,2}\b")
+DASHES = re.compile("[–—―-]+")
 FURNITURE = {"pagenumber", "pagefooter", "pageheader", "pagebreak"}
 ORPHANS = "(orphan paragraphs)"
 ORPHAN_LENGTH, ORPHAN_BASE = 30, 100_000
@@ -20,15 +22,16 @@ INDEX = "doc string, section_idx int, header_1 string, header_2 string, header_3
 
 
 def norm_header(text: str) -> str:
-    t = " ".join((text or "").split()).lower()
-    return re.sub(r"[.,:;]+$", "", re.sub(r"[–—―-]+", "-", t))
+    words = " ".join((text or "").lower().split())
+    return DASHES.sub("-", words).rstrip(".,:;")
 
 
-def heading_level(title: str, stack: list[tuple[int, str]]) -> int:
+def heading_level(title: str, above: list) -> int:
     """By the number that it starts with, else one below the last heading, else 2; 3 at most."""
-    if m := re.match(r"(\d+(?:\.\d+){0,2})\b", title):
-        return min(3, m.group(1).count(".") + 1)
-    return min(3, stack[-1][0] + 1) if stack else 2
+    if m := NUMBERED.match(title):
+        return m.group().count(".") + 1
+    deeper = above[-1][0] + 1 if above else 2
+    return min(deeper, 3)
 
 
 def _pages(paragraph: dict) -> list[int]:
@@ -82,14 +85,16 @@ def section_index(paragraphs: list[dict], sections: list[dict]) -> list[dict]:
 
     for at in range(len(sections)):
         visit(at)
-    covered = {p for s in out for p in range(s["page_start"], s["page_end"] + 1)}
+    covered: set[int] = set()
+    for s in out:
+        covered.update(range(s["page_start"], 1 + s["page_end"]))
     stray: dict[int, list[str]] = {}
     for n, p in enumerate(paragraphs):
         text, on = (p.get("content") or "").strip(), _pages(p)
         if n not in used and (p.get("role") or "").lower() not in FURNITURE and len(text) >= ORPHAN_LENGTH and on and on[0] not in covered:
             stray.setdefault(on[0], []).append(text)
     for k, page in enumerate(sorted(stray)):
-        out.append({"section_idx": len(sections) + ORPHAN_BASE + k, "header_1": ORPHANS, "header_2": "", "header_3": "", "page_start": page, "page_end": page, "content": "\n".join(stray[page]), "is_orphan": True})
+        out.append({"section_idx": len(sections) + ORPHAN_BASE + k, **dict(zip(("header_1", "header_2", "header_3"), (ORPHANS, "", ""), strict=True)), "page_start": page, "page_end": page, "content": "\n".join(stray[page]), "is_orphan": True})
     return out
 
 

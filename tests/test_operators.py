@@ -20,12 +20,18 @@ def test_chunks(spark):
 
 
 def _p(text, page, role="", polygon=()):
-    return {"content": text, "role": role, "boundingRegions": [{"pageNumber": page, "polygon": list(polygon)}]}
+    region = {"polygon": list(polygon), "pageNumber": page}
+    return {"role": role, "content": text, "boundingRegions": [region]}
+
+
+def _tree(*sections):
+    kinds = {"p": "/paragraphs/", "s": "/sections/"}
+    return [{"elements": [kinds.get(e[0], "") + e[1:] for e in s.split()]} for s in sections]
 
 
 def test_section_index():
     ps = [_p("Manual", 1, "title"), _p("MANUAL.", 1, "sectionHeading"), _p("1.2 Meters", 81, "sectionHeading"), _p("drift", 75), _p("body", 82), _p("Footer of the page, long enough to count", 3, "pageFooter"), _p("An orphan paragraph that is long enough", 3), _p("short", 3), _p("Deep", 90, "sectionHeading")]
-    ss = [{"elements": ["/paragraphs/0", "/paragraphs/1", "/sections/1"]}, {"elements": ["/paragraphs/3", "/paragraphs/2", "/paragraphs/4", "/sections/2", "/sections/1", "bad"]}, {"elements": ["/paragraphs/8"]}]
+    ss = _tree("p0 p1 s1", "p3 p2 p4 s2 s1 bad", "p8")
     out = sections.section_index(ps, ss)
     assert [(s["header_1"], s["header_2"], s["header_3"], s["page_start"], s["page_end"]) for s in out] == [("Manual", "", "", 1, 1), ("Manual", "1.2 Meters", "", 81, 82), ("Manual", "1.2 Meters", "Deep", 90, 90), ("(orphan paragraphs)", "", "", 3, 3)]
     assert out[3]["section_idx"] == 100_003 and out[3]["content"] == "An orphan paragraph that is long enough"
@@ -33,7 +39,7 @@ def test_section_index():
 
 
 def test_section_indexes_in_parallel(spark):
-    rows = [(f"d{i}", [_p("Part", i + 1, "title"), _p("body", i + 2)], [{"elements": ["/paragraphs/0", "/paragraphs/1"]}]) for i in range(5)]
+    rows = [(f"d{i}", [_p("Part", i + 1, "title"), _p("body", i + 2)], _tree("p0 p1")) for i in range(5)]
     df = spark.createDataFrame(rows, "doc string, paragraphs array<struct<role:string,content:string,boundingRegions:array<struct<pageNumber:int,polygon:array<double>>>>>, sections array<struct<elements:array<string>>>")
     assert sorted((r["doc"], r["page_start"], r["page_end"]) for r in sections.section_indexes(df).collect()) == [(f"d{i}", i + 1, i + 2) for i in range(5)]
 
