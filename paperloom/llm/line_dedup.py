@@ -104,8 +104,9 @@ def _align(min_words: int):
         for batch in batches:
             ids, hs, gone = [], [], []
             c = {n: batch.column(n) for n in batch.schema.names}
-            lists = {n: (c[n].offsets.to_pylist(), c[n].values.to_pylist()) for n in ("early_pos", "early_hash", "late_pos", "late_hash", "late_words")}
-            at = lambda n, i: lists[n][1][lists[n][0][i] - lists[n][0][0] : lists[n][0][i + 1] - lists[n][0][0]]
+            # numbers become objects for a pair at a time: a batch of long documents would fill the memory
+            lists = {n: (c[n].offsets.to_numpy(), c[n].values.to_numpy()) for n in ("early_pos", "early_hash", "late_pos", "late_hash", "late_words")}
+            at = lambda n, i: lists[n][1][lists[n][0][i] : lists[n][0][i + 1]].tolist()
             for i, (k, h) in enumerate(zip(c["id"].to_pylist(), c["h"].to_pylist(), strict=True)):
                 lost = aligned_blocks(list(zip(at("early_pos", i), at("early_hash", i), strict=True)), list(zip(at("late_pos", i), at("late_hash", i), at("late_words", i), strict=True)), min_words)
                 if lost:
