@@ -101,7 +101,7 @@ def captions(spark: SparkSession, d: str) -> DataFrame:
     return docs.join(F.broadcast(best), "doc_id").select("doc_id", search.caption(F.col("text"), WORDS).alias("caption"))
 
 
-# -- Spark's own, beyond the operators above --------------------------------------------------------------------------
+# -- Spark's own, beyond the operators above --
 
 
 @query("SELECT l_returnflag, l_linestatus, count(*) AS n, sum(l_quantity) AS quantity FROM lineitem GROUP BY ROLLUP (l_returnflag, l_linestatus)")
