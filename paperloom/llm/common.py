@@ -23,7 +23,10 @@ def shared_dir(spark: SparkSession) -> str:
         spark.conf.set("spark.checkpoint.dir", found)
     if not spark.sparkContext._jsc.sc().getCheckpointDir().isDefined():
         spark.sparkContext.setCheckpointDir(found)
-    return found.rstrip("/")
+    # with its scheme: other readers than Spark have another file system where there is none
+    path = spark._jvm.org.apache.hadoop.fs.Path(found)
+    uri = path.getFileSystem(spark._jsc.hadoopConfiguration()).makeQualified(path).toString()
+    return f"file://{uri[5:]}" if uri.startswith("file:/") and not uri.startswith("file://") else uri
 
 
 def new_path(spark: SparkSession, name: str) -> str:
