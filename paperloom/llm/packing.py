@@ -31,6 +31,9 @@ STEP = 0.25
 ETA = 12.0
 #: So many pieces are left to best-fit alone.
 SMALL = 20_000
+#: Pieces that a rank is counted over in one task, about; and the most shares of a length.
+SHARE = 1 << 10
+FINE = 1 << 18
 
 WS = " \\t\\n\\r"
 
@@ -163,14 +166,17 @@ def pack(docs: DataFrame, capacity: int = CAPACITY, quantum: int = QUANTUM) -> D
     n = token_count(F.col("text"))
     lengths = docs.select("doc_id", n.alias("n")).where("n > 0").select("doc_id", "n", F.posexplode(F.sequence(F.lit(0).cast("bigint"), F.call_function("div", F.col("n") - 1, F.lit(capacity).cast("bigint")))).alias("piece", "i"))
     lengths = lengths.select("doc_id", "piece", F.least(F.col("n") - F.col("i") * capacity, F.lit(capacity)).cast("int").alias("n_tokens"))
-    # ranks are counted within salted shares of a length, as one length may hold most of the corpus
+    # ranks are counted within salted shares of a length, as one length may hold most of the corpus; counts by fine salts
+    # tell how many salts give shares of about SHARE pieces, of which the fine ones are parts
     salt = lambda salts: F.pmod(F.xxhash64("doc_id", "piece"), F.lit(salts)).cast("int")
-    counted = materialise(lengths.groupBy(units.alias("units"), salt(64).alias("salt")).agg(F.count(F.lit(1)).alias("n")), "pack-counts")
-    histogram = {r["units"]: r["n"] for r in counted.groupBy("units").agg(F.sum("n").alias("n")).collect()}
+    fine = materialise(lengths.groupBy(units.alias("units"), salt(FINE).alias("salt")).agg(F.count(F.lit(1)).alias("n")), "pack-counts")
+    histogram = {r["units"]: r["n"] for r in fine.groupBy("units").agg(F.sum("n").alias("n")).collect()}
+    salts = min(FINE, 1 << max(0, math.ceil(math.log2(max([1, *histogram.values()]) / SHARE))))
+    counted = fine.groupBy("units", F.pmod("salt", F.lit(salts)).alias("salt")).agg(F.sum("n").alias("n"))
     rows = places(plan(histogram, room), room)
     before = Window.partitionBy("units").orderBy("salt").rowsBetween(Window.unboundedPreceding, -1)
     offsets = materialise(counted.select(F.col("units").alias("__units"), F.col("salt").alias("__salt"), F.coalesce(F.sum("n").over(before), F.lit(0)).alias("__before")), "pack-offsets")
-    cut = pieces(docs, capacity).select("doc_id", "piece", "n_tokens", "text", units.alias("__units"), salt(64).alias("__salt"))
+    cut = pieces(docs, capacity).select("doc_id", "piece", "n_tokens", "text", units.alias("__units"), salt(salts).alias("__salt"))
     order = Window.partitionBy("__units", "__salt").orderBy("doc_id", "piece", F.xxhash64("text"))
     ranked = cut.withColumn("__rank", F.row_number().over(order).cast("bigint") - 1)
     ranked = join_sized(ranked, offsets, ["__units", "__salt"]).withColumn("__rank", F.col("__rank") + F.col("__before"))
