@@ -157,7 +157,8 @@ class _Batches:
             return
         mine = self.texts(found)
         kept = self.texts(found.select(F.col("keep_path").alias("path"), F.col("keep_row").alias("row"))).select(F.col("path").alias("keep_path"), F.col("row").alias("keep_row"), F.col("text").alias("keep_text"))
-        both = found.join(mine, ["path", "row"]).join(kept, ["keep_path", "keep_row"])
+        # the planner takes the texts for as small as their locators
+        both = found.join(mine.hint("merge"), ["path", "row"]).join(kept.hint("merge"), ["keep_path", "keep_row"])
         both.select("doc_id", "path", "row", "keep_id", "digest", (F.col("text") == F.col("keep_text")).alias("equal")).write.mode("overwrite").parquet(f"{self.out}/compared/batch={number}")
         compared = spark.read.parquet(f"{self.out}/compared/batch={number}")
         compared.where("equal").select("doc_id", "path", "row", "keep_id").write.mode("overwrite").parquet(f"{self.out}/duplicates/batch={number}")
@@ -167,7 +168,7 @@ class _Batches:
 
     def overflow(self, other: DataFrame, number: int) -> None:
         spark = other.sparkSession
-        now = other.join(self.texts(other.select("path", "row")), ["path", "row"])
+        now = other.join(self.texts(other.select("path", "row")).hint("merge"), ["path", "row"])
         keys = ["digest", "text"]
         fresh = now
         try:
@@ -176,7 +177,7 @@ class _Batches:
             if "PATH_NOT_FOUND" not in str(e):
                 raise
         else:
-            before = before.join(self.texts(before.select("path", "row")), ["path", "row"]).select(*keys, F.col("doc_id").alias("keep_id"))
+            before = before.join(self.texts(before.select("path", "row")).hint("merge"), ["path", "row"]).select(*keys, F.col("doc_id").alias("keep_id"))
             known = now.join(before, keys)
             known.select("doc_id", "path", "row", "keep_id").write.mode("overwrite").parquet(f"{self.out}/duplicates/batch={number}o")
             fresh = now.join(before, keys, "left_anti")
