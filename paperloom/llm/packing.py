@@ -32,7 +32,7 @@ ETA = 12.0
 #: So many pieces are left to best-fit alone.
 SMALL = 20_000
 #: Pieces that a rank is counted over in one task, about; and the most shares of a length.
-SHARE = 1 << 10
+SHARE = 1 << 8
 FINE = 1 << 18
 
 WS = " \\t\\n\\r"
