@@ -1,8 +1,10 @@
 """Line dedup by pairwise alignment.
 
-Lines are hashed; a hash found in two or more documents is shared. Shared lines of ``min_words`` tokens give candidate
-pairs: a rare one (at most ``rare`` occurrences) pairs all its documents, a frequent one pairs each of its documents
-with the first that has it, so that the pairs grow with the occurrences and no line is left out. Each pair is aligned
+Lines are hashed; a hash found in two or more documents is shared. Stretches of shared lines, one behind the other, give
+candidate pairs: from each line on, and up to each line, the shortest that holds ``min_words`` tokens. Any line of a block
+that two documents share is in such a stretch that both have. The n-th time that a document has a stretch counts as a
+stretch of its own. A rare one (at most ``rare`` documents) pairs all its documents, a frequent one pairs each of its
+documents with the first that has it (so often), so that the pairs grow with the occurrences and no line is left out. Each pair is aligned
 with patience diff on its shared lines, and runs of aligned lines that stand together in both and hold ``min_words``
 tokens are deleted from the later document; what they leave is aligned again. The first document with a line keeps it always.
 
@@ -19,6 +21,7 @@ from bisect import bisect_left
 from collections import Counter
 from collections.abc import Iterator
 
+import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -118,6 +121,46 @@ def _align(min_words: int):
     return aligned
 
 
+def stretches(doc: np.ndarray, pos: np.ndarray, hashes: np.ndarray, words: np.ndarray, min_words: int) -> tuple[np.ndarray, np.ndarray]:
+    """(document, anchor): the shortest stretches of lines that hold enough tokens, from each line on and up to each line. The
+    lines come by document and position; an anchor is a hash of the lines and of how often they stood before."""
+    n = len(doc)
+    found = []
+    upto = np.concatenate([[0], np.cumsum(words)])
+    for k in range(min(min_words, n)):
+        i = np.arange(n - k)
+        j = i + k
+        whole = (doc[i] == doc[j]) & (pos[j] - pos[i] == k) & (upto[j + 1] - upto[i] >= min_words)
+        # without its last, or its first line, it is too short
+        i = i[whole & ((upto[j] - upto[i] < min_words) | (upto[j + 1] - upto[i + 1] < min_words))]
+        mixed = np.full(len(i), k, np.uint64)
+        for at in range(k + 1):
+            mixed = (mixed ^ hashes[i + at].view(np.uint64)) * np.uint64(0x9E3779B97F4A7C15)
+            mixed ^= mixed >> np.uint64(29)
+        found.append((doc[i], mixed))
+    if not found:
+        return np.zeros(0, np.int64), np.zeros(0, np.int64)
+    doc, mixed = (np.concatenate(x) for x in zip(*found, strict=True))
+    order = np.lexsort((mixed, doc))
+    doc, mixed = doc[order], mixed[order]
+    fresh = np.ones(len(doc), bool)
+    fresh[1:] = (doc[1:] != doc[:-1]) | (mixed[1:] != mixed[:-1])
+    times = np.arange(len(doc)) - np.maximum.accumulate(np.where(fresh, np.arange(len(doc)), 0))
+    mixed = (mixed + times.astype(np.uint64)) * np.uint64(0xD6E8FEB86659FD93)
+    return doc, (mixed ^ mixed >> np.uint64(32)).view(np.int64)
+
+
+def _anchors(min_words: int):
+    def anchors(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            lists = {n: batch.column(n) for n in ("pos", "hash", "words")}
+            doc = np.repeat(np.arange(batch.num_rows), np.diff(lists["pos"].offsets.to_numpy()))
+            doc, anchor = stretches(doc, *(x.flatten().to_numpy().astype(np.int64) for x in lists.values()), min_words)
+            yield pa.RecordBatch.from_arrays([batch.column("id").take(pa.array(doc)), batch.column("h").take(pa.array(doc)), pa.array(anchor)], ["id", "h", "anchor"])
+
+    return anchors
+
+
 def keyed(docs: DataFrame) -> DataFrame:
     """(id, h, text): documents' keys; id orders null ids last, h is a hash of the text."""
     return docs.select(F.coalesce(F.col("doc_id").cast("bigint"), F.lit((1 << 63) - 1)).alias("id"), F.xxhash64("text").alias("h"), "text")
@@ -129,16 +172,18 @@ def deletions(docs: DataFrame, min_words: int = MIN_WORDS, rare: int = RARE) ->
     lines = base.select("id", "h", F.posexplode(F.split("text", "\n")).alias("pos", "line"))
     lines = lines.select("id", "h", "pos", F.xxhash64(F.regexp_replace("line", "^[ \\t\\r]+|[ \\t\\r]+$", "")).alias("hash"), F.regexp_count("line", F.lit(TOKEN)).alias("words")).where("words > 0")
     doc = F.struct("id", "h")
-    stats = lines.groupBy("hash").agg(F.count(F.lit(1)).alias("n"), F.min(doc).alias("first"), F.max(doc).alias("last")).where(F.col("first") != F.col("last"))
-    shared = materialise(lines.join(stats.select("hash", "n", "first"), "hash"), "lines-shared")
-    anchors = shared.where(F.col("words") >= min_words).select("hash", "n", "first", doc.alias("doc"))
-    stars = anchors.where(F.col("doc") != F.col("first")).select(F.col("first").alias("early"), F.col("doc").alias("late"))
-    groups = anchors.where(F.col("n") <= rare).groupBy("hash").agg(F.array_sort(F.collect_set("doc")).alias("ds"))
-    every = groups.select(F.explode(F.flatten(F.transform("ds", lambda late, i: F.transform(F.slice("ds", F.lit(1), i), lambda early: F.struct(early.alias("early"), late.alias("late")))))).alias("p")).select("p.early", "p.late")
-    pairs = stars.unionByName(every).distinct().select(F.col("early.id").alias("early_id"), F.col("early.h").alias("early_h"), F.col("late.id").alias("id"), F.col("late.h").alias("h"))
+    stats = lines.groupBy("hash").agg(F.min(doc).alias("first"), F.max(doc).alias("last")).where(F.col("first") != F.col("last"))
+    shared = materialise(lines.join(stats.select("hash"), "hash"), "lines-shared")
     # a repeated row repeats its lines: one of each
     seqs = shared.groupBy("id", "h").agg(F.array_sort(F.collect_set(F.struct("pos", "hash", "words"))).alias("s"))
     seqs = materialise(seqs.select("id", "h", F.col("s.pos").alias("pos"), F.col("s.hash").alias("hash"), F.col("s.words").alias("words")), "lines-of-documents")
+    anchors = materialise(seqs.mapInArrow(_anchors(min_words), "id bigint, h bigint, anchor bigint").select("anchor", doc.alias("doc")).distinct(), "lines-anchors")
+    firsts = anchors.groupBy("anchor").agg(F.count(F.lit(1)).alias("n"), F.min("doc").alias("first")).where("n > 1")
+    anchors = anchors.join(firsts, "anchor")
+    stars = anchors.where(F.col("doc") != F.col("first")).select(F.col("first").alias("early"), F.col("doc").alias("late"))
+    groups = anchors.where(F.col("n") <= rare).groupBy("anchor").agg(F.array_sort(F.collect_set("doc")).alias("ds"))
+    every = groups.select(F.explode(F.flatten(F.transform("ds", lambda late, i: F.transform(F.slice("ds", F.lit(1), i), lambda early: F.struct(early.alias("early"), late.alias("late")))))).alias("p")).select("p.early", "p.late")
+    pairs = stars.unionByName(every).distinct().select(F.col("early.id").alias("early_id"), F.col("early.h").alias("early_h"), F.col("late.id").alias("id"), F.col("late.h").alias("h"))
     both = pairs.join(seqs.select("id", "h", F.col("pos").alias("late_pos"), F.col("hash").alias("late_hash"), F.col("words").alias("late_words")), ["id", "h"])
     both = both.join(seqs.select(F.col("id").alias("early_id"), F.col("h").alias("early_h"), F.col("pos").alias("early_pos"), F.col("hash").alias("early_hash")), ["early_id", "early_h"])
     lost = both.select("id", "h", "early_pos", "early_hash", "late_pos", "late_hash", "late_words").mapInArrow(_align(min_words), "id bigint, h bigint, gone array<int>")

@@ -1,4 +1,5 @@
 import random
+from collections import Counter
 
 from hypothesis import given, settings
 from hypothesis import strategies as st
@@ -90,3 +91,21 @@ def test_odd_rows_and_empty_table(spark):
     assert out.columns == table.columns
     assert sorted(map(str, out.collect())) == sorted(map(str, table.collect()))
     assert line_dedup.line_dedup(spark.createDataFrame([], DOCS)).count() == 0
+
+
+def whole(table, min_words=line_dedup.MIN_WORDS):
+    """Every document against every earlier one on the lines of two documents or more, without any condition."""
+    split = [[(k, line.strip()) for k, line in enumerate(t[1].split("\n")) if line.split()] for t in table]
+    documents = Counter(line for lines in split for line in {line for _, line in lines})
+    split = [[(k, line) for k, line in lines if documents[line] > 1] for lines in split]
+    return {t[0]: {k for x in range(y) for k in line_dedup.aligned_blocks([(k, hash(line)) for k, line in split[x]], [(k, hash(line), len(line.split())) for k, line in split[y]], min_words)} for y, t in enumerate(table)}
+
+
+def test_what_later_documents_share_beside_a_frequent_line(spark):
+    """Short lines beside a line of 40 documents, and a second occurrence of it, that the first of them doesn't have."""
+    hot = "a line that very many documents have"
+    table = [(i, f"{hot}\nown {i}", "en", "a") for i in range(40)]
+    table += [(40, f"own 40\nshort\n{hot}\nafter it\nthe end\nown 40 b\n{hot}", "en", "a"), (41, f"own 41\nshort\n{hot}\nafter it\nthe end\nown 41 b\n{hot}", "en", "a"), (42, f"own 42\n{hot}\nown 42 b\n{hot}", "en", "a")]
+    want = whole(table)
+    got = {r["id"]: set(r["gone"]) for r in line_dedup.deletions(docs(spark, table)).collect()}
+    assert want[41] == {1, 2, 3, 4, 6} and got == {i: w for i, w in want.items() if w}
