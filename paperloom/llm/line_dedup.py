@@ -8,7 +8,7 @@ documents with the first that has it (so often), so that the pairs grow with the
 with patience diff on its shared lines, and runs of aligned lines that stand together in both and hold ``min_words``
 tokens are deleted from the later document; what they leave is aligned again. The first document with a line keeps it always.
 
-Documents are ordered by id, null ids last, equal ids by a hash of the text. Defined results: rows equal in id and text
+Of scripts written without blanks each character is a token. Documents are ordered by id, null ids last, equal ids by a hash of the text. Defined results: rows equal in id and text
 are one document, so they lose the same lines. Null and empty texts pass unchanged; so do blank lines outside deleted
 blocks. A document that loses all its lines that aren't blank is left out with ``drop_emptied`` (its text stands
 elsewhere in full), or else stays with an empty text. A column ``n_chars`` is brought up to date. An empty table gives
@@ -28,6 +28,9 @@ from pyspark.sql import functions as F
 
 from paperloom.llm.common import ROW, TOKEN, materialise, packed
 
+#: Scripts that are written without blanks; each of their characters counts as a token.
+UNBROKEN = "\\p{IsHan}\\p{IsHiragana}\\p{IsKatakana}\\p{IsThai}\\p{IsLao}\\p{IsKhmer}\\p{IsMyanmar}"
+WORD = f"[{UNBROKEN}]|[^ \\t\\n\\r{UNBROKEN}]+"
 MIN_WORDS = 5
 RARE = 8
 
@@ -170,7 +173,7 @@ def deletions(docs: DataFrame, min_words: int = MIN_WORDS, rare: int = RARE) ->
     """(id, h, gone): the positions, from 0, of the lines that each document loses."""
     base = keyed(docs).where("length(text) > 0")
     lines = base.select("id", "h", F.posexplode(F.split("text", "\n")).alias("pos", "line"))
-    lines = lines.select("id", "h", "pos", F.xxhash64(F.regexp_replace("line", "^[ \\t\\r]+|[ \\t\\r]+$", "")).alias("hash"), F.regexp_count("line", F.lit(TOKEN)).alias("words")).where("words > 0")
+    lines = lines.select("id", "h", "pos", F.xxhash64(F.regexp_replace("line", "^[ \\t\\r]+|[ \\t\\r]+$", "")).alias("hash"), F.regexp_count("line", F.lit(WORD)).alias("words")).where("words > 0")
     doc = F.struct("id", "h")
     stats = lines.groupBy("hash").agg(F.min(doc).alias("first"), F.max(doc).alias("last")).where(F.col("first") != F.col("last"))
     shared = materialise(lines.join(stats.select("hash"), "hash"), "lines-shared")

@@ -109,3 +109,17 @@ def test_what_later_documents_share_beside_a_frequent_line(spark):
     want = whole(table)
     got = {r["id"]: set(r["gone"]) for r in line_dedup.deletions(docs(spark, table)).collect()}
     assert want[41] == {1, 2, 3, 4, 6} and got == {i: w for i, w in want.items() if w}
+
+
+def test_passages_of_short_lines_and_of_scripts_without_blanks(spark):
+    verse = "roses are red\nviolets are blue\nand so on"
+    chinese = "这是一行没有空格的文字"
+    table = [(1, f"head one\n{verse}\nfoot one", "en", "a"), (2, f"head two\n{verse}\nfoot two", "en", "a"), (3, f"第一\n{chinese}", "zh", "a"), (4, f"第二\n{chinese}\n结束", "zh", "a")]
+    out = {r["doc_id"]: r["text"] for r in line_dedup.line_dedup(docs(spark, table)).collect()}
+    assert out == {1: table[0][1], 2: "head two\nfoot two", 3: table[2][1], 4: "第二\n结束"}
+    for seed in (3, 4):
+        table = [(i, "\n".join(" ".join(line.split()[-3:]) for line in t.split("\n")), lang, s) for i, t, lang, s in _corpus(seed) if t]
+        want = whole(table)
+        got = {r["id"]: set(r["gone"]) for r in line_dedup.deletions(docs(spark, table), rare=3).collect()}
+        total = sum(map(len, want.values()))
+        assert total > 50 and sum(len(want[i] & g) for i, g in got.items()) >= 0.97 * total and all(g <= want[i] for i, g in got.items())
