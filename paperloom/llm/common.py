@@ -1,24 +1,36 @@
-"""Helpers shared by the corpus operators: shared folder, materialising, size-checked joins, packing of columns."""
+"""Helpers shared by the corpus operators: shared folder, materialising, places of rows, size-checked joins."""
 
 from __future__ import annotations
 
 import tempfile
 import uuid
+from collections import OrderedDict
+from collections.abc import Iterator
 
+import numpy as np
+import pyarrow as pa
+import pyarrow.fs as pafs
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.pandas.types import to_arrow_type
 
 #: A token is a maximal run of characters other than blank, tab, line feed and carriage return.
 TOKEN = "[^ \\t\\n\\r]+"
-#: A side of a join is broadcast up to this many estimated bytes.
+#: A side of a join is broadcast up to this many bytes, measured as JSON.
 BROADCAST_BYTES = 32 << 20
 ROW = "__row"
+#: The place of a row: a hash of its file's path, and its number in that file.
+FILE, AT = "__file", "__at"
+LAST = (1 << 63) - 1
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """Folder that all executors share: ``spark.checkpoint.dir``, or a temporary one set here where it is unset (tests)."""
+    """Folder that all executors share: ``spark.checkpoint.dir``. Where it is unset, one of this machine's is set here, if it is
+    the only one that runs (tests); on a cluster that is an error."""
     found = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getConf().get("spark.checkpoint.dir")
     if not found:
+        if not spark.sparkContext.master.startswith("local[") and spark.sparkContext.master != "local":
+            raise RuntimeError("spark.checkpoint.dir must name a folder that all executors share")
         found = "file://" + tempfile.mkdtemp(prefix="paperloom-")
         spark.conf.set("spark.checkpoint.dir", found)
     if not spark.sparkContext._jsc.sc().getCheckpointDir().isDefined():
@@ -53,11 +65,111 @@ def token_count(text: Column) -> Column:
     return F.coalesce(F.regexp_count(text, F.lit(TOKEN)), F.lit(0)).cast("bigint")
 
 
-def join_sized(big: DataFrame, small: DataFrame, on: list[str], how: str = "inner", row_bytes: int = 200, salts: int = 64) -> DataFrame:
-    """Join with a table that is small as a rule. Its rows are counted (``small`` should be materialised): up to
+def join_sized(big: DataFrame, small: DataFrame, on: list[str], how: str = "inner", salts: int = 64) -> DataFrame:
+    """Join with a table that is small as a rule. Its bytes are measured (``small`` should be materialised): up to
     ``BROADCAST_BYTES`` it is broadcast; beyond, it is replicated under ``salts`` salts and shuffled, so that a heavy
-    key of ``big`` is spread over many tasks."""
-    if small.count() * row_bytes <= BROADCAST_BYTES:
+    key of ``big`` is spread over many tasks. The result is the same."""
+    size = small.agg(F.sum(F.octet_length(F.to_json(F.struct(*small.columns))))).first()[0] or 0
+    if size <= BROADCAST_BYTES:
         return big.join(F.broadcast(small), on, how)
     salted = small.withColumn("__salt", F.explode(F.array(*[F.lit(i) for i in range(salts)])))
     return big.withColumn("__salt", F.pmod(F.xxhash64(*big.columns), F.lit(salts)).cast("int")).join(salted, [*on, "__salt"], how).drop("__salt")
+
+
+# -- places --
+
+
+def _is_scan(df: DataFrame) -> bool:
+    """Whether the rows are those of Parquet files, at most filtered and projected, so that each has a place of its own."""
+    node = df._jdf.queryExecution().analyzed()
+    while node.nodeName() in ("Project", "Filter", "SubqueryAlias"):
+        node = node.children().head()
+    if node.nodeName() != "LogicalRelation" or "HadoopFsRelation" not in node.relation().getClass().getName():
+        return False
+    return "parquet" in node.relation().fileFormat().toString().lower()
+
+
+def located(df: DataFrame) -> DataFrame:
+    """(__row, __file, __at): every row as a struct, and its place, which is its own even where rows are equal. Other frames
+    than scans of Parquet files are written to the shared folder first."""
+    if not _is_scan(df):
+        df = materialise(df, "rows")
+    place = df.metadataColumn("_metadata")
+    return packed(df, **{FILE: F.xxhash64(place["file_path"]), AT: place["row_index"]})
+
+
+def _place_writer(path: str):
+    def write(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        def put(file: int, parts: list[pa.RecordBatch]) -> None:
+            table = pa.Table.from_batches(parts).select(["at", "value"]).combine_chunks()
+            fs, to = pafs.FileSystem.from_uri(f"{path}/{file & (1 << 64) - 1:016x}")
+            # a task that runs again writes the same; a move puts it in place at once
+            with fs.open_output_stream(tmp := f"{to}.{uuid.uuid4().hex}") as f, pa.ipc.new_file(f, table.schema) as w:
+                w.write_table(table)
+            fs.move(tmp, to)
+
+        held: list[pa.RecordBatch] = []
+        last, n = None, 0
+        for batch in batches:
+            files = batch.column("file").to_numpy()
+            cuts = [0, *(np.nonzero(np.diff(files))[0] + 1).tolist(), len(files)]
+            n += len(files)
+            for s, e in zip(cuts, cuts[1:], strict=False):
+                if s == e:
+                    continue
+                if files[s] != last and held:
+                    put(last, held)
+                    held = []
+                last = int(files[s])
+                held.append(batch.slice(s, e - s))
+        if held:
+            put(last, held)
+        yield pa.RecordBatch.from_arrays([pa.array([n], pa.int64())], ["n"])
+
+    return write
+
+
+def _finder(path: str, kind: pa.DataType):
+    held: OrderedDict[int, tuple | None] = OrderedDict()
+
+    def load(file: int) -> tuple | None:
+        if file not in held:
+            fs, at = pafs.FileSystem.from_uri(f"{path}/{file & (1 << 64) - 1:016x}")
+            held[file] = None
+            if fs.get_file_info(at).type == pafs.FileType.File:
+                with fs.open_input_file(at) as f:
+                    table = pa.ipc.open_file(f).read_all()
+                held[file] = (table.column("at").to_numpy(), table.column("value").combine_chunks().cast(kind))
+            if len(held) > 4:
+                held.popitem(last=False)
+        return held[file]
+
+    def find(file: pa.Array, at: pa.Array) -> pa.Array:
+        files, ats = file.to_numpy(zero_copy_only=False), at.to_numpy(zero_copy_only=False)
+        cuts = [0, *(np.nonzero(np.diff(files))[0] + 1).tolist(), len(files)]
+        out = []
+        for s, e in zip(cuts, cuts[1:], strict=False):
+            if s == e:
+                continue
+            if (found := load(int(files[s]))) is None:
+                out.append(pa.nulls(e - s, kind))
+                continue
+            keys, values = found
+            k = np.minimum(np.searchsorted(keys, ats[s:e]), len(keys) - 1)
+            out.append(values.take(pa.array(k, mask=keys[k] != ats[s:e])))
+        return pa.concat_arrays(out) if out else pa.nulls(0, kind)
+
+    return find
+
+
+def attach(rows: DataFrame, found: DataFrame, name: str) -> DataFrame:
+    """Rows (__file, __at, ...) with the value that ``found`` (file, at, value; a place once) has for their place, null for none.
+    A join that doesn't move the rows: ``found`` is shuffled to one file for each file of theirs, in which the tasks that read it
+    look rows up. Such a file has no more entries than the one it belongs to has rows."""
+    spark = rows.sparkSession
+    path = new_path(spark, "places")
+    fs, at = pafs.FileSystem.from_uri(path)
+    fs.create_dir(at, recursive=True)
+    kind = found.schema["value"].dataType
+    found.select("file", "at", "value").repartition("file").sortWithinPartitions("file", "at").mapInArrow(_place_writer(path), "n bigint").agg(F.sum("n")).collect()
+    return rows.withColumn(name, F.arrow_udf(_finder(path, to_arrow_type(kind)), kind)(FILE, AT))
