@@ -3,13 +3,15 @@
 Lines are hashed; a hash found in two or more documents is shared. Stretches of shared lines, one behind the other, give
 candidate pairs: from each line on, and up to each line, the shortest that holds ``min_words`` tokens. Any line of a block
 that two documents share is in such a stretch that both have. The n-th time that a document has a stretch counts as a
-stretch of its own. A rare one (at most ``rare`` documents) pairs all its documents, a frequent one pairs each of its
-documents with the first that has it (so often), so that the pairs grow with the occurrences and no line is left out. Each pair is aligned
-with patience diff on its shared lines, and runs of aligned lines that stand together in both and hold ``min_words``
-tokens are deleted from the later document; what they leave is aligned again. The first document with a line keeps it always.
-
-Of scripts written without blanks each character is a token. Documents are ordered by id, null ids last, equal ids by a hash of the text. Defined results: rows equal in id and text
-are one document, so they lose the same lines. Null and empty texts pass unchanged; so do blank lines outside deleted
+stretch of its own. Each stretch pairs every document that has it with the first that has it (so often), so that the pairs grow
+with the occurrences, however many documents share a line, and no line is left out. Each pair is aligned with patience diff on
+its shared lines, and runs of aligned lines that stand together in both and hold ``min_words`` tokens are deleted from the
+later document. What they leave is aligned again, as blocks may stand in another order; stretches that patience doesn't align,
+as their lines stand several times in both, are matched as they come. The first document with a line keeps it always.
+
+Of scripts written without blanks each character is a token. Documents are ordered by id, null ids last, then a hash of the text,
+then their place. Defined results: every row is a document of its own, so a repeated row, or a copy without an id, loses all its
+lines to the first. Null and empty texts pass unchanged; so do blank lines outside deleted
 blocks. A document that loses all its lines that aren't blank is left out with ``drop_emptied`` (its text stands
 elsewhere in full), or else stays with an empty text. A column ``n_chars`` is brought up to date. An empty table gives
 an empty one. Other columns pass through.
@@ -26,13 +28,12 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from paperloom.llm.common import ROW, TOKEN, materialise, packed
+from paperloom.llm.common import AT, FILE, LAST, ROW, TOKEN, _is_scan, attach, located, materialise
 
 #: Scripts that are written without blanks; each of their characters counts as a token.
 UNBROKEN = "\\p{IsHan}\\p{IsHiragana}\\p{IsKatakana}\\p{IsThai}\\p{IsLao}\\p{IsKhmer}\\p{IsMyanmar}"
 WORD = f"[{UNBROKEN}]|[^ \\t\\n\\r{UNBROKEN}]+"
 MIN_WORDS = 5
-RARE = 8
 
 
 def patience(a: list[int], b: list[int]) -> list[tuple[int, int]]:
@@ -94,11 +95,41 @@ def _blocks(early: list[tuple[int, int]], late: list[tuple[int, int, int]], min_
     return out + (run if words >= min_words else [])
 
 
+def _leftover(early: list[tuple[int, int]], late: list[tuple[int, int, int]], min_words: int) -> list[tuple[int, int]]:
+    """Positions (early, late) of stretches that both have and no alignment has found, each with the lines that go on with it."""
+    index: dict[tuple, list[int]] = {}
+    for k in range(1, min_words + 1):
+        for x in range(len(early) - k, -1, -1):
+            if early[x + k - 1][0] - early[x][0] == k - 1:
+                index.setdefault(tuple(h for _, h in early[x : x + k]), []).append(x)
+    used: set[int] = set()
+    found: list[tuple[int, int]] = []
+    y = 0
+    while y < len(late):
+        k, words = 0, 0
+        while y + k < len(late) and words < min_words and late[y + k][0] == late[y][0] + k:
+            words += late[y + k][2]
+            k += 1
+        x = -1
+        free = index.get(tuple(h for _, h, _ in late[y : y + k]), []) if words >= min_words else []
+        while free and x < 0:
+            x = free.pop()
+            x = -1 if any(i in used for i in range(x, x + k)) else x
+        if x < 0:
+            y += 1
+            continue
+        while y + k < len(late) and x + k < len(early) and x + k not in used and early[x + k][1] == late[y + k][1] and early[x + k][0] == early[x][0] + k and late[y + k][0] == late[y][0] + k:
+            k += 1
+        used |= set(range(x, x + k))
+        found += [(early[x + i][0], late[y + i][0]) for i in range(k)]
+        y += k
+    return found
+
+
 def aligned_blocks(early: list[tuple[int, int]], late: list[tuple[int, int, int]], min_words: int) -> list[int]:
-    """Positions of the later document in aligned blocks. early: (position, hash); late: (position, hash, tokens). What a
-    block leaves is aligned again, as blocks may stand in another order."""
+    """Positions of the later document in aligned blocks. early: (position, hash); late: (position, hash, tokens)."""
     out: list[int] = []
-    while found := _blocks(early, late, min_words):
+    while found := _blocks(early, late, min_words) or _leftover(early, late, min_words):
         used, gone = {x for x, _ in found}, {y for _, y in found}
         out += gone
         early, late = [e for e in early if e[0] not in used], [e for e in late if e[0] not in gone]
@@ -108,18 +139,17 @@ def aligned_blocks(early: list[tuple[int, int]], late: list[tuple[int, int, int]
 def _align(min_words: int):
     def aligned(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            ids, hs, gone = [], [], []
+            at, gone = [], []
             c = {n: batch.column(n) for n in batch.schema.names}
             # numbers become objects for a pair at a time: a batch of long documents would fill the memory
             lists = {n: (c[n].offsets.to_numpy(), c[n].values.to_numpy()) for n in ("early_pos", "early_hash", "late_pos", "late_hash", "late_words")}
-            at = lambda n, i: lists[n][1][lists[n][0][i] : lists[n][0][i + 1]].tolist()
-            for i, (k, h) in enumerate(zip(c["id"].to_pylist(), c["h"].to_pylist(), strict=True)):
-                lost = aligned_blocks(list(zip(at("early_pos", i), at("early_hash", i), strict=True)), list(zip(at("late_pos", i), at("late_hash", i), at("late_words", i), strict=True)), min_words)
+            one = lambda n, i: lists[n][1][lists[n][0][i] : lists[n][0][i + 1]].tolist()
+            for i in range(batch.num_rows):
+                lost = aligned_blocks(list(zip(one("early_pos", i), one("early_hash", i), strict=True)), list(zip(one("late_pos", i), one("late_hash", i), one("late_words", i), strict=True)), min_words)
                 if lost:
-                    ids.append(k)
-                    hs.append(h)
+                    at.append(i)
                     gone.append(lost)
-            yield pa.RecordBatch.from_arrays([pa.array(ids, pa.int64()), pa.array(hs, pa.int64()), pa.array(gone, pa.list_(pa.int32()))], ["id", "h", "gone"])
+            yield pa.RecordBatch.from_arrays([c["doc"].take(pa.array(at, pa.int64())), pa.array(gone, pa.list_(pa.int32()))], ["doc", "gone"])
 
     return aligned
 
@@ -159,46 +189,39 @@ def _anchors(min_words: int):
             lists = {n: batch.column(n) for n in ("pos", "hash", "words")}
             doc = np.repeat(np.arange(batch.num_rows), np.diff(lists["pos"].offsets.to_numpy()))
             doc, anchor = stretches(doc, *(x.flatten().to_numpy().astype(np.int64) for x in lists.values()), min_words)
-            yield pa.RecordBatch.from_arrays([batch.column("id").take(pa.array(doc)), batch.column("h").take(pa.array(doc)), pa.array(anchor)], ["id", "h", "anchor"])
+            yield pa.RecordBatch.from_arrays([batch.column("doc").take(pa.array(doc)), pa.array(anchor)], ["doc", "anchor"])
 
     return anchors
 
 
-def keyed(docs: DataFrame) -> DataFrame:
-    """(id, h, text): documents' keys; id orders null ids last, h is a hash of the text."""
-    return docs.select(F.coalesce(F.col("doc_id").cast("bigint"), F.lit((1 << 63) - 1)).alias("id"), F.xxhash64("text").alias("h"), "text")
-
-
-def deletions(docs: DataFrame, min_words: int = MIN_WORDS, rare: int = RARE) -> DataFrame:
-    """(id, h, gone): the positions, from 0, of the lines that each document loses."""
-    base = keyed(docs).where("length(text) > 0")
-    lines = base.select("id", "h", F.posexplode(F.split("text", "\n")).alias("pos", "line"))
-    lines = lines.select("id", "h", "pos", F.xxhash64(F.regexp_replace("line", "^[ \\t\\r]+|[ \\t\\r]+$", "")).alias("hash"), F.regexp_count("line", F.lit(WORD)).alias("words")).where("words > 0")
-    doc = F.struct("id", "h")
-    stats = lines.groupBy("hash").agg(F.min(doc).alias("first"), F.max(doc).alias("last")).where(F.col("first") != F.col("last"))
-    shared = materialise(lines.join(stats.select("hash"), "hash"), "lines-shared")
-    # a repeated row repeats its lines: one of each
-    seqs = shared.groupBy("id", "h").agg(F.array_sort(F.collect_set(F.struct("pos", "hash", "words"))).alias("s"))
-    seqs = materialise(seqs.select("id", "h", F.col("s.pos").alias("pos"), F.col("s.hash").alias("hash"), F.col("s.words").alias("words")), "lines-of-documents")
-    anchors = materialise(seqs.mapInArrow(_anchors(min_words), "id bigint, h bigint, anchor bigint").select("anchor", doc.alias("doc")).distinct(), "lines-anchors")
-    firsts = anchors.groupBy("anchor").agg(F.count(F.lit(1)).alias("n"), F.min("doc").alias("first")).where("n > 1")
-    anchors = anchors.join(firsts, "anchor")
-    stars = anchors.where(F.col("doc") != F.col("first")).select(F.col("first").alias("early"), F.col("doc").alias("late"))
-    groups = anchors.where(F.col("n") <= rare).groupBy("anchor").agg(F.array_sort(F.collect_set("doc")).alias("ds"))
-    every = groups.select(F.explode(F.flatten(F.transform("ds", lambda late, i: F.transform(F.slice("ds", F.lit(1), i), lambda early: F.struct(early.alias("early"), late.alias("late")))))).alias("p")).select("p.early", "p.late")
-    pairs = stars.unionByName(every).distinct().select(F.col("early.id").alias("early_id"), F.col("early.h").alias("early_h"), F.col("late.id").alias("id"), F.col("late.h").alias("h"))
-    both = pairs.join(seqs.select("id", "h", F.col("pos").alias("late_pos"), F.col("hash").alias("late_hash"), F.col("words").alias("late_words")), ["id", "h"])
-    both = both.join(seqs.select(F.col("id").alias("early_id"), F.col("h").alias("early_h"), F.col("pos").alias("early_pos"), F.col("hash").alias("early_hash")), ["early_id", "early_h"])
-    lost = both.select("id", "h", "early_pos", "early_hash", "late_pos", "late_hash", "late_words").mapInArrow(_align(min_words), "id bigint, h bigint, gone array<int>")
-    return lost.groupBy("id", "h").agg(F.array_distinct(F.flatten(F.collect_set("gone"))).alias("gone"))
-
-
-def line_dedup(docs: DataFrame, min_words: int = MIN_WORDS, rare: int = RARE, drop_emptied: bool = True) -> DataFrame:
+DOC = f"struct<id:bigint,h:bigint,{FILE}:bigint,{AT}:bigint>"
+
+
+def deletions(docs: DataFrame, min_words: int = MIN_WORDS) -> DataFrame:
+    """(id, h, __file, __at, gone): the positions, from 0, of the lines that each document loses."""
+    text = F.col(f"{ROW}.text")
+    doc = F.struct(F.coalesce(F.col(f"{ROW}.doc_id").cast("bigint"), F.lit(LAST)).alias("id"), F.xxhash64(text).alias("h"), FILE, AT)
+    lines = located(docs).where(F.length(text) > 0).select(doc.alias("doc"), F.posexplode(F.split(text, "\n")).alias("pos", "line"))
+    lines = lines.select("doc", "pos", F.xxhash64(F.regexp_replace("line", "^[ \\t\\r]+|[ \\t\\r]+$", "")).alias("hash"), F.regexp_count("line", F.lit(WORD)).alias("words")).where("words > 0")
+    lines = materialise(lines, "lines")
+    stats = lines.groupBy("hash").agg(F.min("doc").alias("first"), F.max("doc").alias("last")).where(F.col("first") != F.col("last"))
+    seqs = lines.join(stats.select("hash"), "hash").groupBy("doc").agg(F.array_sort(F.collect_list(F.struct("pos", "hash", "words"))).alias("s"))
+    seqs = materialise(seqs.select("doc", F.col("s.pos").alias("pos"), F.col("s.hash").alias("hash"), F.col("s.words").alias("words")), "lines-of-documents")
+    anchors = materialise(seqs.mapInArrow(_anchors(min_words), f"doc {DOC}, anchor bigint"), "lines-anchors")
+    firsts = anchors.groupBy("anchor").agg(F.count(F.lit(1)).alias("n"), F.min("doc").alias("early")).where("n > 1").select("anchor", "early")
+    pairs = anchors.join(firsts, "anchor").where(F.col("doc") != F.col("early")).select("early", "doc").distinct()
+    both = pairs.join(seqs.select("doc", F.col("pos").alias("late_pos"), F.col("hash").alias("late_hash"), F.col("words").alias("late_words")), "doc")
+    both = both.join(seqs.select(F.col("doc").alias("early"), F.col("pos").alias("early_pos"), F.col("hash").alias("early_hash")), "early")
+    lost = both.select("doc", "early_pos", "early_hash", "late_pos", "late_hash", "late_words").mapInArrow(_align(min_words), f"doc {DOC}, gone array<int>")
+    return lost.groupBy("doc").agg(F.array_distinct(F.flatten(F.collect_set("gone"))).alias("gone")).select("doc.*", "gone")
+
+
+def line_dedup(docs: DataFrame, min_words: int = MIN_WORDS, drop_emptied: bool = True) -> DataFrame:
     """Documents without the lines that an earlier one has in an aligned block."""
-    gone = deletions(docs, min_words, rare)
+    docs = docs if _is_scan(docs) else materialise(docs, "rows")
+    gone = deletions(docs, min_words).select(F.col(FILE).alias("file"), F.col(AT).alias("at"), F.col("gone").alias("value"))
     text = F.col(f"{ROW}.text")
-    rows = packed(docs, id=F.coalesce(F.col("doc_id").cast("bigint"), F.lit((1 << 63) - 1)), h=F.xxhash64("text"))
-    rows = rows.join(gone, ["id", "h"], "left")
+    rows = attach(located(docs), gone, "gone")
     kept = F.array_join(F.filter(F.split(text, "\n"), lambda x, i: ~F.array_contains(F.col("gone"), i)), "\n")
     rows = rows.select(ROW, F.when(F.col("gone").isNull(), text).otherwise(kept).alias("__text"), F.col("gone").isNotNull().alias("__cut"))
     blank = F.regexp_count("__text", F.lit(TOKEN)) == 0
