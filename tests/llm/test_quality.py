@@ -4,9 +4,6 @@ from collections import Counter, defaultdict
 from paperloom.llm import quality
 from tests.llm.util import DOCS, docs, odd, rows
 
-MIN_WORDS, MIN_DOCS, SPREAD = quality.MIN_WORDS, quality.MIN_DOCS, quality.SPREAD
-
-
 def _metrics(text):
     words = text.split()
     lines = text.split("\n")
@@ -16,7 +13,7 @@ def _metrics(text):
         "symbols": bad * 1024 // n,
         "uppers": sum(c.isupper() for c in text) * 1024 // n,
         "word_len": sum(c not in " \t\n\r" for c in text) * 16 // max(len(words), 1),
-        "unique": len(set(words)) * 1024 // max(len(words), 1),
+        "uniq": len(set(words)) * 1024 // max(len(words), 1),
         "repeated_lines": 1024 - len(set(lines)) * 1024 // len(lines),
     }
 
@@ -28,23 +25,23 @@ def _bucket(v):
 def brute(table):
     groups = defaultdict(lambda: defaultdict(list))
     for _, text, lang, source in table:
-        if len(text.split()) >= MIN_WORDS:
+        if len(text) >= quality.MIN_CHARS:
             for k, v in _metrics(text).items():
                 for at in ((lang, source), (lang,), ()):
                     groups[at][k].append(_bucket(v))
 
-    def fence(lang, source, k):
-        vs = next(sorted(groups[at][k]) for at in ((lang, source), (lang,), ()) if len(groups[at][k]) >= MIN_DOCS or at == ())
-        q = [vs[-(-len(vs) * s // 4) - 1] for s in (1, 3)]
-        lo, hi = quality.METRICS[k]
-        return q[0] - max(SPREAD * (q[1] - q[0]), lo or 0) if lo is not None else None, q[1] + max(SPREAD * (q[1] - q[0]), hi or 0) if hi is not None else None
+    def sound(text, lang, source, k, v):
+        vs = next(sorted(groups[at][k]) for at in ((lang, source), (lang,), ()) if len(groups[at][k]) >= quality.MIN_DOCS or at == ())
+        q = lambda share: vs[-(-len(vs) * share // 1000) - 1]
+        n = len(text) if k in ("symbols", "uppers") else len(text.split())
+        wide = max(1, (1200 if k in ("symbols", "uppers") else 200) / n) ** 0.5
+        for times, side in zip(quality.RULES[k], (-1, 1), strict=True):
+            spread = next((abs(q(t if side > 0 else 1000 - t) - q(500)) for t in (800, 900, 990, 999) if q(t if side > 0 else 1000 - t) != q(500)), None)
+            if times and spread and (v - q(500)) * side > times * spread * wide:
+                return False
+        return True
 
-    kept = []
-    for i, text, lang, source in table:
-        n = len(text.split())
-        if n and (n < MIN_WORDS or all((lo is None or _bucket(v) >= lo) and (hi is None or _bucket(v) <= hi) for k, v in _metrics(text).items() for lo, hi in [fence(lang, source, k)])):
-            kept.append(i)
-    return kept
+    return [i for i, text, lang, source in table if text.split() and all(sound(text, lang, source, k, _bucket(v)) for k, v in _metrics(text).items())]
 
 
 def _corpus(seed=1, n=420):
@@ -52,7 +49,7 @@ def _corpus(seed=1, n=420):
     vocabulary = ["".join(r.choices("abcdefghilmnorstu", k=r.randint(2, 9))) for _ in range(900)]
     out = []
     for i in range(n):
-        ws = r.choices(vocabulary, k=r.randint(1, 200))
+        ws = [w.title() if r.random() < 0.1 else w + "," if r.random() < 0.1 else w for w in r.choices(vocabulary, k=r.randint(1, 200))]
         kind = i % 20
         if kind == 3:
             ws = [w + "&&&" for w in ws]
@@ -73,17 +70,33 @@ def test_against_brute_force(spark):
 def test_it_rejects_junk_and_keeps_the_rest(spark):
     table = _corpus(2)
     kept = {r[0] for r in rows(quality.quality_filter(docs(spark, table)), "doc_id")}
-    long = [t for t in table if len(t[1].split()) >= MIN_WORDS]
+    long = [t for t in table if len(t[1].split()) >= 40]
     junk = {t[0] for t in long if t[0] % 20 in (3, 7, 11)}
     assert not junk & kept
-    assert kept == {t[0] for t in table} - junk
+    assert {t[0] for t in long} - junk <= kept
+
+
+def test_texts_of_few_tokens_are_judged(spark):
+    table = _corpus(5)
+    table += [(9000, "QmFzZTY0" * 5000, "en", "big"), (9001, "#" * 400, "en", "big"), (9002, "a short and sound one", "en", "big")]
+    kept = {r[0] for r in rows(quality.quality_filter(docs(spark, table)), "doc_id")}
+    assert 9000 not in kept and 9001 not in kept and 9002 in kept and sorted(kept) == sorted(brute(table))
+
+
+def test_cutoffs_follow_the_group(spark):
+    """Shares of symbols that are usual in one source and not in another."""
+    r = random.Random(8)
+    words = lambda marks: " ".join("".join(r.choices("abcdefghik", k=6)) + ("%" if r.random() < marks else "") for _ in range(150))
+    table = [(i, words(0.02 if i % 2 else 0.6), "en", "ab"[i % 2]) for i in range(400)] + [(1000, words(0.6), "en", "b")]
+    kept = {x[0] for x in rows(quality.quality_filter(docs(spark, table)), "doc_id")}
+    assert 1000 not in kept and len(kept & set(range(400))) >= 396
 
 
 def test_sketches_merge(spark):
-    table = docs(spark, _corpus(3))
+    table = quality.measured(docs(spark, _corpus(3)))
     whole = Counter({tuple(r)[:4]: r["n"] for r in quality.sketches(table).collect()})
     parts = Counter()
-    for keep in ("doc_id % 2 = 0", "doc_id % 2 = 1"):
+    for keep in ("__at % 2 = 0", "__at % 2 = 1"):
         parts += Counter({tuple(r)[:4]: r["n"] for r in quality.sketches(table.where(keep)).collect()})
     assert whole == parts
 
