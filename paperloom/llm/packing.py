@@ -5,7 +5,9 @@ units of ``quantum`` tokens rounded up, so that the problem solved on the driver
 units, however large the corpus. A configuration is a multiset of lengths that fits. The program (cover every length's
 count with the fewest configurations) is solved by multiplicative weights: the weights of lengths not yet covered price
 a knapsack, whose dynamic programme gives the next configuration. The solution is rounded down, what is left is packed
-best-fit, longest first, and pieces are then given to the places of their length by rank, in parallel.
+best-fit, longest first, and pieces are then given to the places of their length by rank, in parallel. Two tables are
+broadcast for that: the offsets of shares of a length (at most 2 ``SHARES`` rows and one a unit), and the places of the configurations
+(as many rows as the program has configurations times their lengths, which depends on ``capacity / quantum`` alone).
 
 Defined results: null and empty texts, and those of blanks, have no tokens and no pieces. Repeated rows are packed as
 often as they stand there. Null ids are allowed. An empty table gives an empty result. Of the input's columns only id and text
@@ -22,17 +24,19 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from paperloom.llm.common import BROADCAST_BYTES, join_sized, materialise, token_count
+from paperloom.llm.common import materialise, token_count
 
 CAPACITY = 2048
 QUANTUM = 4
 #: Least share of its count by which a step covers a length.
 STEP = 0.25
 ETA = 12.0
-#: So many pieces are left to best-fit alone.
-SMALL = 20_000
-#: Pieces that a rank is counted over in one task, about; and the most shares of a length.
+#: Share of the pieces, at any size, that rounds of the program needn't reach.
+REST = 0.25
+#: Pieces that a rank is counted over at once, at least; shares of all lengths, at most (twice as many, and one a length), which
+#: bounds the table of their offsets, whatever the corpus; and the finest shares that are counted.
 SHARE = 1 << 8
+SHARES = 1 << 17
 FINE = 1 << 18
 
 WS = " \\t\\n\\r"
@@ -82,41 +86,59 @@ def solve(counts: dict[int, int], capacity: int, step: float = STEP, eta: float
     return x, bound
 
 
-def best_fit(counts: dict[int, int], capacity: int) -> list[tuple]:
-    """Best-fit decreasing: the configuration of each bin."""
-    room: list[tuple[int, int]] = []
-    bins: list[dict[int, int]] = []
+def best_fit(counts: dict[int, int], capacity: int) -> list[tuple[tuple, int]]:
+    """Best-fit decreasing: configurations and how many bins have each. Bins that hold the same are filled together, so the time
+    depends on how many kinds there are, not on the number of pieces."""
+    kinds: dict[int, dict[tuple, int]] = {}
+    room: list[int] = []
+
+    def add(config: tuple, left: int, n: int) -> None:
+        if left not in kinds:
+            insort(room, left)
+            kinds[left] = {}
+        kinds[left][config] = kinds[left].get(config, 0) + n
+
     for length in sorted(counts, reverse=True):
-        for _ in range(counts[length]):
-            at = bisect_left(room, (length, -1))
+        n = counts[length]
+        while n > 0:
+            at = bisect_left(room, length)
             if at < len(room):
-                left, b = room.pop(at)
+                left = room[at]
+                config, bins = next(iter(kinds[left].items()))
             else:
-                left, b = capacity, len(bins)
-                bins.append({})
-            bins[b][length] = bins[b].get(length, 0) + 1
-            if left > length:
-                insort(room, (left - length, b))
-    return [tuple(sorted(b.items(), reverse=True)) for b in bins]
+                left, config, bins = capacity, (), n
+            # the bin that a piece goes to stays the best one for the next, while there is room
+            each = min(left // length, n)
+            take = min(bins, n // each)
+            if config:
+                kinds[left][config] -= take
+                if not kinds[left][config]:
+                    del kinds[left][config]
+                if not kinds[left]:
+                    del kinds[left]
+                    room.pop(at)
+            add((*config, (length, each)), left - each * length, take)
+            n -= each * take
+    return [(tuple(sorted(c, reverse=True)), n) for left in kinds for c, n in kinds[left].items()]
 
 
 def plan(counts: dict[int, int], capacity: int) -> list[tuple[tuple, int]]:
     """Configurations and how often each is used; together they hold the counts exactly.
 
-    A rounded solution can cover too much, and is then cut back, which leaves a share of the pieces. While that is more
-    than ``SMALL`` pieces, the program is solved for them again and only configurations that leave no unit empty are
-    used, as long as there are any; so what best-fit packs is bounded whatever the size of the corpus."""
+    A rounded solution can cover too much, and is then cut back, which leaves a share of the pieces. The program is solved for
+    these again, at first with configurations alone that leave no unit empty, then with any, as long as a round places a tenth of
+    what there is, and until a share of ``REST`` is left to best-fit."""
     left = {k: n for k, n in counts.items() if n > 0}
+    rest = REST * sum(left.values())
     used: dict[tuple, int] = {}
     if full := left.pop(capacity, 0):
         used[((capacity, 1),)] = full
-    strict, again = True, True
-    while left and again:
+    strict = True
+    while sum(left.values()) > rest:
         x, _ = solve(left, capacity)
-        again = sum(left.values()) > SMALL
         before = sum(left.values())
         for config, amount in sorted(x.items(), key=lambda c: (sum(k * a for k, a in c[0]) - capacity) * -1):
-            if strict and again and sum(k * a for k, a in config) < capacity:
+            if strict and sum(k * a for k, a in config) < capacity:
                 break
             n = min(int(amount), *(left.get(k, 0) // a for k, a in config))
             if n > 0:
@@ -128,8 +150,8 @@ def plan(counts: dict[int, int], capacity: int) -> list[tuple[tuple, int]]:
             if not strict:
                 break
             strict = False
-    for config in best_fit(left, capacity):
-        used[config] = used.get(config, 0) + 1
+    for config, n in best_fit(left, capacity):
+        used[config] = used.get(config, 0) + n
     return sorted(used.items(), reverse=True)
 
 
@@ -167,23 +189,23 @@ def pack(docs: DataFrame, capacity: int = CAPACITY, quantum: int = QUANTUM) -> D
     lengths = docs.select("doc_id", n.alias("n")).where("n > 0").select("doc_id", "n", F.posexplode(F.sequence(F.lit(0).cast("bigint"), F.call_function("div", F.col("n") - 1, F.lit(capacity).cast("bigint")))).alias("piece", "i"))
     lengths = lengths.select("doc_id", "piece", F.least(F.col("n") - F.col("i") * capacity, F.lit(capacity)).cast("int").alias("n_tokens"))
     # ranks are counted within salted shares of a length, as one length may hold most of the corpus; counts by fine salts
-    # tell how many salts give shares of about SHARE pieces, of which the fine ones are parts
-    salt = lambda salts: F.pmod(F.xxhash64("doc_id", "piece"), F.lit(salts)).cast("int")
-    fine = materialise(lengths.groupBy(units.alias("units"), salt(FINE).alias("salt")).agg(F.count(F.lit(1)).alias("n")), "pack-counts")
+    # tell how many salts each length gets, of which the fine ones are parts
+    hashed = F.pmod(F.xxhash64("doc_id", "piece"), F.lit(FINE)).cast("int")
+    fine = materialise(lengths.groupBy(units.alias("units"), hashed.alias("salt")).agg(F.count(F.lit(1)).alias("n")), "pack-counts")
     histogram = {r["units"]: r["n"] for r in fine.groupBy("units").agg(F.sum("n").alias("n")).collect()}
-    salts = min(FINE, 1 << max(0, math.ceil(math.log2(max([1, *histogram.values()]) / SHARE))))
-    counted = fine.groupBy("units", F.pmod("salt", F.lit(salts)).alias("salt")).agg(F.sum("n").alias("n"))
+    share = max(SHARE, sum(histogram.values()) / SHARES)
+    salts = [min(FINE, 1 << max(0, math.ceil(math.log2(max(1, histogram.get(u, 0)) / share)))) for u in range(room + 2)]
+    salt = lambda of, length: F.pmod(of, F.get(F.array(*[F.lit(x) for x in salts]), length))
+    counted = fine.groupBy("units", salt(F.col("salt"), F.col("units")).alias("salt")).agg(F.sum("n").alias("n"))
     rows = places(plan(histogram, room), room)
     before = Window.partitionBy("units").orderBy("salt").rowsBetween(Window.unboundedPreceding, -1)
     offsets = materialise(counted.select(F.col("units").alias("__units"), F.col("salt").alias("__salt"), F.coalesce(F.sum("n").over(before), F.lit(0)).alias("__before")), "pack-offsets")
-    cut = pieces(docs, capacity).select("doc_id", "piece", "n_tokens", "text", units.alias("__units"), salt(salts).alias("__salt"))
+    cut = pieces(docs, capacity).select("doc_id", "piece", "n_tokens", "text", units.alias("__units"), salt(hashed, units).alias("__salt"))
     order = Window.partitionBy("__units", "__salt").orderBy("doc_id", "piece", F.xxhash64("text"))
     ranked = cut.withColumn("__rank", F.row_number().over(order).cast("bigint") - 1)
-    ranked = join_sized(ranked, offsets, ["__units", "__salt"]).withColumn("__rank", F.col("__rank") + F.col("__before"))
+    ranked = ranked.join(F.broadcast(offsets), ["__units", "__salt"]).withColumn("__rank", F.col("__rank") + F.col("__before"))
     schema = T.StructType([T.StructField(k, T.LongType() if k != "__units" else T.IntegerType(), False) for k in ("__units", "__from", "__to", "__bin", "__each", "__at")])
     slots = docs.sparkSession.createDataFrame(rows, schema)
-    if len(rows) * 64 > BROADCAST_BYTES:
-        raise ValueError("more places than a configuration program of this capacity has")
     r = F.col("__rank") - F.col("__from")
     out = ranked.join(F.broadcast(slots), "__units").where((F.col("__rank") >= F.col("__from")) & (F.col("__rank") < F.col("__to")))
     return out.select((F.col("__bin") + F.call_function("div", r, F.col("__each"))).alias("bin"), ((F.col("__at") + r % F.col("__each") * F.col("__units")) * quantum).alias("start"), "doc_id", "piece", "n_tokens", "text")

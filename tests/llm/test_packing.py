@@ -88,3 +88,54 @@ def test_near_the_lower_bound_at_any_size():
         assert sum(x.values()) >= bound * 0.999
         used = packing.plan(scaled, 64)
         assert sum(n for _, n in used) <= sum(k * n for k, n in scaled.items()) / 64 * 1.003 + 1
+
+
+def _fewest(lengths, capacity):
+    """The least number of bins, by trying all ways."""
+    best = [len(lengths)]
+
+    def place(left, rooms):
+        if len(rooms) >= best[0]:
+            return
+        if not left:
+            best[0] = len(rooms)
+            return
+        for k in sorted({r: i for i, r in enumerate(rooms) if r >= left[0]}.values()):
+            place(left[1:], [r - left[0] * (i == k) for i, r in enumerate(rooms)])
+        place(left[1:], [*rooms, capacity - left[0]])
+
+    place(sorted(lengths, reverse=True), [])
+    return best[0]
+
+
+@settings(max_examples=60, deadline=None)
+@given(st.lists(st.integers(1, 16), min_size=1, max_size=9))
+def test_few_pieces_against_all_ways(lengths):
+    counts = {k: lengths.count(k) for k in lengths}
+    bins = sum(n for _, n in packing.plan(counts, 16))
+    assert _fewest(lengths, 16) <= bins <= _fewest(lengths, 16) + 1
+
+
+def test_the_query_against_all_ways(spark):
+    r = random.Random(9)
+    lengths = [r.randint(1, 40) for _ in range(9)]
+    table = [(i, " ".join(["w"] * n), "en", "a") for i, n in enumerate(lengths)]
+    out = packing.pack(docs(spark, table), 32, 1).collect()
+    cut = [m for n in lengths for m in ([32, n - 32] if n > 32 else [n])]
+    assert _fewest(cut, 32) <= _check(out, [t[:2] for t in table], 32) <= _fewest(cut, 32) + 1
+
+
+@settings(max_examples=100, deadline=None)
+@given(st.dictionaries(st.integers(1, 16), st.integers(1, 500), min_size=1))
+def test_best_fit_holds_the_counts(counts):
+    got = defaultdict(int)
+    for config, n in packing.best_fit(counts, 16):
+        assert n > 0 and sum(k * a for k, a in config) <= 16
+        for k, a in config:
+            got[k] += a * n
+    assert dict(got) == counts
+
+
+def test_a_large_capacity(spark):
+    table = [(i, "w " * (37 * i % 4000 + 1), "en", "a") for i in range(60)]
+    _check(packing.pack(docs(spark, table), 1 << 16, 16).collect(), [t[:2] for t in table], 1 << 16)
