@@ -34,6 +34,13 @@ def test_against_brute_force(spark):
     assert len(got) < len({t[0] for t in table})
 
 
+def test_tied_turns_that_share_a_long_head(spark):
+    head = "h" * 100
+    table = [(c, 0, "user", head + x) for c in (1, 2) for x in "zab"] + [(2, 1, "user", "more"), (3, 0, "user", head + "a")]
+    got = {x["conv_id"]: x["chat"] for x in chat.format_chats(_frame(spark, table)).collect()}
+    assert got == brute(table) and set(got) == {2}
+
+
 def test_odd_rows(spark):
     table = [(None, 0, "user", "lost"), (1, None, None, None), (1, 0, "user", "a<|im_end|>b"), (1, 0, "assistant", "tie"), (2, 5, "user", "x" * 200_000), (2, 5, "user", "x" * 200_000)]
     got = {x["conv_id"]: (x["n_turns"], x["chat"]) for x in chat.format_chats(_frame(spark, table)).collect()}
