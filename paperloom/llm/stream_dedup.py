@@ -28,13 +28,13 @@ import pyarrow.parquet as pq
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from paperloom.llm.common import new_path
+from paperloom.llm.common import attach, located, new_path, unpacked
 
 LAST = (1 << 63) - 1
 STORE = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
 #: What a batch reads, so that one of a large backlog fits.
 BATCH = 256 << 30
-#: Bytes of the source for each bucket of the state, about, up to 2**24 buckets: some dozens of documents.
+#: Bytes of the source for each bucket of the state, about: some dozens of documents.
 BUCKET_BYTES = 128 << 10
 #: Rows of a file that one task reads texts of.
 STRETCH = 200_000
@@ -199,8 +199,8 @@ def _buckets(spark: SparkSession, source: str, out: str) -> int:
     jvm = spark._jvm
     at = jvm.org.apache.hadoop.fs.Path(source)
     size = at.getFileSystem(spark._jsc.hadoopConfiguration()).getContentSummary(at).getLength()
-    n = 1 << min(24, max(6, math.ceil(math.log2(max(size, 1) / BUCKET_BYTES))))
-    spark.createDataFrame([(n,)], "n int").coalesce(1).write.parquet(path)
+    n = 1 << max(6, math.ceil(math.log2(max(size, 1) / BUCKET_BYTES)))
+    spark.createDataFrame([(n,)], "n bigint").coalesce(1).write.parquet(path)
     return n
 
 
@@ -213,7 +213,7 @@ def run_stream(spark: SparkSession, source: str, out: str, hashed=digest, batch:
     # as a pattern, the source may be one file as well as a folder
     docs = stream.parquet(f"{source[:-1]}[{source[-1]}]").select("doc_id", "text", "_metadata").where("text is not null")
     rows = _located(docs).select(hashed(F.col("text")).alias("digest"), F.coalesce(F.col("doc_id").cast("bigint"), F.lit(LAST)).alias("doc_id"), F.col("__path").alias("path"), F.col("__row").alias("row"))
-    rows = rows.withColumn("bucket", F.pmod(F.xxhash64("digest"), F.lit(buckets)).cast("int"))
+    rows = rows.withColumn("bucket", F.pmod(F.xxhash64("digest"), F.lit(buckets).cast("bigint")))
     found = rows.groupBy("bucket").applyInPandasWithState(hits, HIT, "entries binary", "append", "NoTimeout")
     settings = {"spark.sql.streaming.stateStore.providerClass": STORE, "spark.sql.streaming.stateStore.rocksdb.changelogCheckpointing.enabled": "true"}
     before = {k: spark.conf.get(k, None) for k in settings}
@@ -243,9 +243,8 @@ def dedup(spark: SparkSession, source: str, out: str | None = None, **options) -
     out = out or new_path(spark, "stream-dedup")
     run_stream(spark, source, out, **options)
     docs = spark.read.parquet(source)
-    gone = duplicates(spark, out).select(F.col("path").alias("__path"), F.col("row").alias("__row"))
-    rows = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("__doc"), F.col("_metadata.file_path").alias("__path"), F.col("_metadata.row_index").alias("__row"))
-    return rows.join(gone, ["__path", "__row"], "left_anti").select(*[F.col(f"__doc.`{c}`").alias(c) for c in docs.columns])
+    gone = duplicates(spark, out).select(F.xxhash64("path").alias("file"), F.col("row").alias("at"), F.lit(True).alias("value"))
+    return unpacked(attach(located(docs), gone, "__gone").where("__gone IS NULL"), docs.columns)
 
 
 def sql() -> str:
