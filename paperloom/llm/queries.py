@@ -9,6 +9,9 @@ from pyspark.sql import functions as F
 
 from paperloom.llm import chat, line_dedup, mixing, packing, quality, simhash, stream_dedup, url_filter, warc, wrappers
 
+#: Domains of the synthetic pages that no corpus of general text should hold.
+DOMAINS = tuple(f"{name}.example.{tld}" for name in ("adult-x", "ads-track", "casino-win", "cheap-pills", "free-bets", "spam-farm") for tld in ("com", "net", "org"))
+
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
@@ -36,7 +39,7 @@ def op3_warc_read(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op4_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     pages = table(spark, sf_dir, "pages")
-    return url_filter.filter_urls(pages, url_filter.default_list(pages))
+    return url_filter.filter_urls(pages, url_filter.with_traps(pages, DOMAINS))
 
 
 def op5_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -64,7 +67,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
 ORACLES: dict[str, str] = {
     "op2_mix_sources": mixing.sql(),
     "op3_warc_read": warc.sql(),
-    "op4_url_filter": url_filter.sql(),
+    "op4_url_filter": url_filter.sql(DOMAINS),
     "op5_exact_dedup": stream_dedup.sql(),
     "op7_chat_format": chat.sql(),
     "op8_quality_rules": quality.sql(),

@@ -26,8 +26,6 @@ from paperloom.llm.common import new_path
 
 #: Entries of a shard, about: keys and entries of a task take some 200 MB then.
 SHARD = 2_000_000
-#: What no corpus of general text should hold.
-DOMAINS = tuple(f"{name}.example.{tld}" for name in ("adult-x", "ads-track", "casino-win", "cheap-pills", "free-bets", "spam-farm") for tld in ("com", "net", "org"))
 
 
 def canonical(url: Column) -> Column:
@@ -149,20 +147,20 @@ def filter_urls(pages: DataFrame, entries: DataFrame, hashed=F.xxhash64, shard:
     return rows.select("page_id", "url", F.col("entry").isNotNull().alias("blocked"), "entry")
 
 
-def default_list(pages: DataFrame) -> DataFrame:
-    """The fixed domains, and canonical URLs that two or more pages answer to: traps for crawlers."""
+def with_traps(pages: DataFrame, domains: tuple[str, ...]) -> DataFrame:
+    """(entry): the domains, and canonical URLs that two or more pages answer to: traps for crawlers."""
     traps = pages.where("length(url) > 0").groupBy(canonical(F.col("url")).alias("entry")).agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("entry")
-    return pages.sparkSession.createDataFrame([(d,) for d in DOMAINS], "entry string").unionByName(traps)
+    return pages.sparkSession.createDataFrame([(d,) for d in domains], "entry string").unionByName(traps)
 
 
 _CANON = r"""regexp_replace(regexp_replace(regexp_replace(regexp_replace(regexp_replace(regexp_replace(regexp_replace(regexp_replace(regexp_replace(regexp_replace(
     lower(trim(url)), '^[a-z][a-z0-9+.-]*://', ''), '#.*$', '', 'g'), '^[^/?]*@', ''), '^www\.', ''), '^([^/?:]*):[0-9]+', '\1'), '([?&])utm_[^&]*', '\1', 'g'), '&&+', '&', 'g'), '\?&+', '?', 'g'), '[?&]+$', ''), '/$', '')"""
 
 
-def sql() -> str:
-    """The default list in DuckDB SQL."""
+def sql(domains: tuple[str, ...]) -> str:
+    """The filter with that list in DuckDB SQL."""
     return f"""WITH c AS (SELECT page_id, url, {_CANON} AS canon FROM pages),
-    e AS (SELECT unnest([{", ".join(f"'{d}'" for d in DOMAINS)}]) AS entry UNION SELECT canon FROM c WHERE length(url) > 0 GROUP BY canon HAVING count(*) > 1),
+    e AS (SELECT unnest([{", ".join(f"'{d}'" for d in domains)}]) AS entry UNION SELECT canon FROM c WHERE length(url) > 0 GROUP BY canon HAVING count(*) > 1),
     h AS (SELECT DISTINCT url, canon, string_split(regexp_extract(canon, '^([^/?]*)', 1), '.') AS parts FROM c WHERE length(url) > 0),
     p AS (SELECT url, canon AS probe FROM h UNION SELECT url, array_to_string(list_slice(parts, i, len(parts)), '.') FROM (SELECT url, parts, unnest(range(1, greatest(len(parts), 2))) AS i FROM h)),
     b AS (SELECT url, arg_max(probe, (length(probe), probe)) AS entry FROM p JOIN e ON e.entry = p.probe WHERE probe <> '' GROUP BY url)
