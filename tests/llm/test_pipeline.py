@@ -8,7 +8,7 @@ from tests.llm.test_packing import _check
 from tests.llm.test_quality import brute as brute_quality
 from tests.llm.test_simhash import _groups
 from tests.llm.test_simhash import brute as brute_near
-from tests.llm.util import docs
+from tests.llm.util import CLASH, CLASHING, DOCS, ODD, docs
 
 
 def _corpus():
@@ -29,13 +29,19 @@ def _corpus():
     return table
 
 
-def test_stages_against_brute_force(spark):
+def _written(spark, tmp_path, frame):
+    frame.coalesce(1).write.parquet(f"{tmp_path}/documents.parquet")
+    return str(tmp_path)
+
+
+def test_stages_against_brute_force(spark, tmp_path):
     table = _corpus()
     frame = docs(spark, table)
+    folder = _written(spark, tmp_path, frame)
     names = [n for n, _ in corpus_pipeline.STAGES]
     assert names == ["quality_rules", "line_dedup", "simhash_near_dedup", "mix_sources", "best_fit_packing"]
     for name, stage in corpus_pipeline.STAGES:
-        out = stage(spark, frame, "")
+        out = stage(spark, frame, folder)
         now = [(r["doc_id"], r["text"], r["lang"], r["source"]) for r in frame.collect()]
         got = [tuple(r)[:4] for r in out.collect()]
         if name == "quality_rules":
@@ -46,7 +52,8 @@ def test_stages_against_brute_force(spark):
             assert dict(g[:2] for g in got) == {i: t for i, t in want.items() if t}
             assert len(got) < len(now)
         if name == "simhash_near_dedup":
-            roots = _groups(brute_near(now), [t[0] for t in now])
+            alive = {t[0] for t in now}
+            roots = _groups(brute_near([t for t in table if t[0] in alive]), alive)
             assert sorted(g[0] for g in got) == sorted(set(roots.values())) and len(got) < len(now)
         if name == "mix_sources":
             assert sorted(g[0] for g in got) == sorted(brute_mix(now)) and len(got) > len(now)
@@ -57,6 +64,16 @@ def test_stages_against_brute_force(spark):
         frame = out
 
 
+def test_run_on_odd_rows_and_an_empty_table(spark, tmp_path):
+    odd = docs(spark, [(*r, *CLASHING) for r in ODD], CLASH)
+    got = [(r["doc_id"], r["text"]) for r in corpus_pipeline.run(spark, _written(spark, tmp_path / "odd", odd)).collect()]
+    ids = [i for i, _ in got]
+    assert set(ids) == {None, 4, 5, 6}
+    assert len({t for i, t in got if i == 5}) == 2 and sum(t.startswith("a null id") for _, t in got) >= 1
+    empty = _written(spark, tmp_path / "empty", spark.createDataFrame([], DOCS))
+    assert corpus_pipeline.run(spark, empty).count() == 0
+
+
 def test_every_operator_has_a_query():
     for n in range(1, 11):
         assert len([q for q in queries.QUERIES if q.startswith(f"op{n}_")]) == 1
