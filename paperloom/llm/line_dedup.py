@@ -30,9 +30,10 @@ from pyspark.sql import functions as F
 
 from paperloom.llm.common import AT, FILE, LAST, ROW, TOKEN, _is_scan, attach, located, materialise
 
-#: Scripts that are written without blanks; each of their characters counts as a token.
-UNBROKEN = "\\p{IsHan}\\p{IsHiragana}\\p{IsKatakana}\\p{IsThai}\\p{IsLao}\\p{IsKhmer}\\p{IsMyanmar}"
-WORD = f"[{UNBROKEN}]|[^ \\t\\n\\r{UNBROKEN}]+"
+#: Thai, Lao, Burmese, Khmer, Japanese and Chinese, written without blanks: each of their characters counts as a token. As ranges, as
+#: looking up each character's script takes longer than all else.
+UNBROKEN = "\u0e00-\u0eff\u1000-\u109f\u1780-\u17ff\u3040-\u30ff\u3400-\u4dbf\u4e00-\u9fff\uf900-\ufaff\uff66-\uff9f\U00020000-\U0002fa1f"
+WORD = f"[{UNBROKEN}]|[^ \\t\\r{UNBROKEN}]+"
 MIN_WORDS = 5
 
 
@@ -201,8 +202,12 @@ def deletions(docs: DataFrame, min_words: int = MIN_WORDS) -> DataFrame:
     """(id, h, __file, __at, gone): the positions, from 0, of the lines that each document loses."""
     text = F.col(f"{ROW}.text")
     doc = F.struct(F.coalesce(F.col(f"{ROW}.doc_id").cast("bigint"), F.lit(LAST)).alias("id"), F.xxhash64(text).alias("h"), FILE, AT)
-    lines = located(docs).where(F.length(text) > 0).select(doc.alias("doc"), F.posexplode(F.split(text, "\n")).alias("pos", "line"))
-    lines = lines.select("doc", "pos", F.xxhash64(F.regexp_replace("line", "^[ \\t\\r]+|[ \\t\\r]+$", "")).alias("hash"), F.regexp_count("line", F.lit(WORD)).alias("words")).where("words > 0")
+    stripped = F.transform(F.split(text, "\n"), lambda x: F.btrim(x, F.lit(" \t\r")))
+    lines = located(docs).where(F.length(text) > 0).select(doc.alias("doc"), F.posexplode(stripped).alias("pos", "line")).where("line != ''")
+    # more than min_words tokens count as one more: that is enough to tell, and needn't read on
+    some = F.size(F.split("line", "[ \\t\\r]+", min_words + 1))
+    unbroken = (F.octet_length("line") > F.length("line") + 1) & F.rlike("line", F.lit(f"[{UNBROKEN}]"))
+    lines = lines.select("doc", "pos", F.xxhash64("line").alias("hash"), F.when(unbroken, F.regexp_count("line", F.lit(WORD))).otherwise(some).alias("words"))
     lines = materialise(lines, "lines")
     stats = lines.groupBy("hash").agg(F.min("doc").alias("first"), F.max("doc").alias("last")).where(F.col("first") != F.col("last"))
     seqs = lines.join(stats.select("hash"), "hash").groupBy("doc").agg(F.array_sort(F.collect_list(F.struct("pos", "hash", "words"))).alias("s"))
