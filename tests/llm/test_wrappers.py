@@ -1,4 +1,5 @@
 import random
+import time
 
 from hypothesis import given, settings
 from hypothesis import strategies as st
@@ -48,10 +49,35 @@ def test_odd_pages_and_empty_table(spark):
     got = wrappers.extract(spark.createDataFrame([(*r, "h", "w", "k") for r in rows], SCHEMA)).collect()
     by = {r["page_id"]: r["text"] for r in got}
     assert len(got) == len(rows)
-    assert by[1] == "x" and by[2] == by[3] == "" and by[4] == "no tags at all" and by[None] == "deep" and by[6].count("x") == 20_000 and by[7] == "" and by[8] == "bold\nboth\ni\n<"
+    assert by[1] == "x" and by[2] == by[3] == "" and by[4] == "no tags at all" and by[None] == "deep" and by[6].count("x") == 20_000 and by[7] == "" and by[8] == "bold\nboth\ni\n<" and by[5] == "same"
     assert wrappers.extract(spark.createDataFrame([], SCHEMA)).count() == 0
 
 
+def test_long_pages_take_time_in_proportion():
+    r = random.Random(1)
+    for page in ("line of text<br>" * 64_000, "<li>item number" * 64_000, "<div>" * 60_000 + "x", "".join(f"<p>x</p>{'<br>' * r.randint(0, 3)}y" for _ in range(40_000))):
+        began = time.time()
+        keys, texts = wrappers.tokens(page)
+        nodes = wrappers.fold(tuple(keys))
+        assert nodes[-1][2] == len(keys) and time.time() - began < 30
+
+
+def test_unlike_long_pages_are_aligned_in_little_memory():
+    r = random.Random(2)
+    a, b = ([r.choice("abcdefgh") for _ in range(8000)] for _ in range(2))
+    began = time.time()
+    pairs = wrappers.align(a, b)
+    assert len(pairs) > 4000 and all(a[i] == b[j] for i, j in pairs) and time.time() - began < 60
+
+
+def test_a_wrapper_does_not_change_with_its_shares(spark):
+    """Many shapes of one host, so that several shares are merged: the content comes out as from one."""
+    site = _site(120, 7)
+    pages = spark.createDataFrame([(i, "https://a.example.com/", html.replace("<h1>", f"<h1 class=c{i % 30}>"), "x", "y", "z") for i, (html, _) in enumerate(site)], SCHEMA)
+    got = {r["page_id"]: r["text"].split("\n") for r in wrappers.extract(pages).collect()}
+    assert sum(got[i] == content for i, (_, content) in enumerate(site)) >= 0.95 * len(site)
+
+
 KEYS = st.lists(st.sampled_from(["a", "/a", "b", "/b", "#"]), max_size=24).map(tuple)
 
 
@@ -67,6 +93,7 @@ def test_folding_keeps_all_tokens(keys):
 @given(KEYS, KEYS)
 def test_alignment_is_the_heaviest(a, b):
     pairs = wrappers.align(list(a), list(b))
+    assert sum(wrappers._weight(a[i]) for i, _ in wrappers.align(list(a), list(b), 4)) == sum(wrappers._weight(a[i]) for i, _ in pairs)
     assert all(a[i] == b[j] for i, j in pairs) and all(p[0] < q[0] and p[1] < q[1] for p, q in zip(pairs, pairs[1:], strict=False))
     best = [[0] * (len(b) + 1) for _ in range(len(a) + 1)]
     for i in range(len(a) - 1, -1, -1):
