@@ -18,6 +18,9 @@ from pyspark.sql.pandas.types import to_arrow_type
 TOKEN = "[^ \\t\\n\\r]+"
 #: A side of a join is broadcast up to this many bytes, measured as JSON.
 BROADCAST_BYTES = 32 << 20
+#: Bytes of rows that Spark hands to Python at once. Spark's own bound is 64 MB, of which a task holds several copies, in both
+#: processes and for each Python step in a row.
+BATCH, BATCH_BYTES = "spark.sql.execution.arrow.maxBytesPerBatch", 4 << 20
 ROW = "__row"
 #: The place of a row: a hash of its file's path, and its number in that file.
 FILE, AT = "__file", "__at"
@@ -26,13 +29,15 @@ LAST = (1 << 63) - 1
 
 def shared_dir(spark: SparkSession) -> str:
     """Folder that all executors share: ``spark.checkpoint.dir``. Where it is unset, one of this machine's is set here, if it is
-    the only one that runs (tests); on a cluster that is an error."""
+    the only one that runs (tests); on a cluster that is an error. Where the session sets no bound of Arrow batches in bytes, ours is set."""
     found = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getConf().get("spark.checkpoint.dir")
     if not found:
         if not spark.sparkContext.master.startswith("local[") and spark.sparkContext.master != "local":
             raise RuntimeError("spark.checkpoint.dir must name a folder that all executors share")
         found = "file://" + tempfile.mkdtemp(prefix="paperloom-")
         spark.conf.set("spark.checkpoint.dir", found)
+    if spark.conf.get(BATCH, None) is None:
+        spark.conf.set(BATCH, str(BATCH_BYTES))
     if not spark.sparkContext._jsc.sc().getCheckpointDir().isDefined():
         spark.sparkContext.setCheckpointDir(found)
     # with its scheme: other readers than Spark have another file system where there is none
