@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import ctypes
 import tempfile
 import uuid
 from collections import OrderedDict
@@ -81,6 +82,27 @@ def join_sized(big: DataFrame, small: DataFrame, on: list[str], how: str = "inne
     return big.withColumn("__salt", F.pmod(F.xxhash64(*big.columns), F.lit(salts)).cast("int")).join(salted, [*on, "__salt"], how).drop("__salt")
 
 
+def _give_back() -> None:
+    """Memory that this process holds and doesn't use, to the system."""
+    pa.default_memory_pool().release_unused()
+    try:
+        ctypes.CDLL("libc.so.6").malloc_trim(0)
+    except (OSError, AttributeError):  # another C library, which keeps its own house
+        pass
+
+
+def lean(step):
+    """The step over batches, giving memory back at its end: a worker that waits for its next task would keep it."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        try:
+            yield from step(batches)
+        finally:
+            _give_back()
+
+    return run
+
+
 # -- places --
 
 
@@ -176,5 +198,5 @@ def attach(rows: DataFrame, found: DataFrame, name: str) -> DataFrame:
     fs, at = pafs.FileSystem.from_uri(path)
     fs.create_dir(at, recursive=True)
     kind = found.schema["value"].dataType
-    found.select("file", "at", "value").repartition("file").sortWithinPartitions("file", "at").mapInArrow(_place_writer(path), "n bigint").agg(F.sum("n")).collect()
+    found.select("file", "at", "value").repartition("file").sortWithinPartitions("file", "at").mapInArrow(lean(_place_writer(path)), "n bigint").agg(F.sum("n")).collect()
     return rows.withColumn(name, F.arrow_udf(_finder(path, to_arrow_type(kind)), kind)(FILE, AT))

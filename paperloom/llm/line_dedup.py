@@ -28,7 +28,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from paperloom.llm.common import AT, FILE, LAST, ROW, TOKEN, _is_scan, attach, located, materialise
+from paperloom.llm.common import AT, FILE, LAST, ROW, TOKEN, _is_scan, attach, lean, located, materialise
 
 #: Thai, Lao, Burmese, Khmer, Japanese and Chinese, written without blanks: each of their characters counts as a token. As ranges, as
 #: looking up each character's script takes longer than all else.
@@ -212,12 +212,12 @@ def deletions(docs: DataFrame, min_words: int = MIN_WORDS) -> DataFrame:
     stats = lines.groupBy("hash").agg(F.min("doc").alias("first"), F.max("doc").alias("last")).where(F.col("first") != F.col("last"))
     seqs = lines.join(stats.select("hash"), "hash").groupBy("doc").agg(F.array_sort(F.collect_list(F.struct("pos", "hash", "words"))).alias("s"))
     seqs = materialise(seqs.select("doc", F.col("s.pos").alias("pos"), F.col("s.hash").alias("hash"), F.col("s.words").alias("words")), "lines-of-documents")
-    anchors = materialise(seqs.mapInArrow(_anchors(min_words), f"doc {DOC}, anchor bigint"), "lines-anchors")
+    anchors = materialise(seqs.mapInArrow(lean(_anchors(min_words)), f"doc {DOC}, anchor bigint"), "lines-anchors")
     firsts = anchors.groupBy("anchor").agg(F.count(F.lit(1)).alias("n"), F.min("doc").alias("early")).where("n > 1").select("anchor", "early")
     pairs = anchors.join(firsts, "anchor").where(F.col("doc") != F.col("early")).select("early", "doc").distinct()
     both = pairs.join(seqs.select("doc", F.col("pos").alias("late_pos"), F.col("hash").alias("late_hash"), F.col("words").alias("late_words")), "doc")
     both = both.join(seqs.select(F.col("doc").alias("early"), F.col("pos").alias("early_pos"), F.col("hash").alias("early_hash")), "early")
-    lost = both.select("doc", "early_pos", "early_hash", "late_pos", "late_hash", "late_words").mapInArrow(_align(min_words), f"doc {DOC}, gone array<int>")
+    lost = both.select("doc", "early_pos", "early_hash", "late_pos", "late_hash", "late_words").mapInArrow(lean(_align(min_words)), f"doc {DOC}, gone array<int>")
     return lost.groupBy("doc").agg(F.array_distinct(F.flatten(F.collect_set("gone"))).alias("gone")).select("doc.*", "gone")
 
 
