@@ -60,6 +60,20 @@ def cache_lookup(figures: DataFrame, history: DataFrame, on: list[str], statuses
     return figures.join(known, on, "left").select(*figures.columns, F.col("hit").isNotNull().alias("hash_hit"), "hit.description", "hit.category")
 
 
+def phash_lookup(figures: DataFrame, history: DataFrame, across: bool = False) -> DataFrame:
+    """Figures (image_phash, ...) with phash_hit and the description of an earlier diagram of any document that looks the same. Off by
+    default: the description comes from another document, where the picture may mean something else."""
+    known = history.where(F.lit(across) & (F.col("record_type") == "diagram") & F.col("image_phash").rlike("^[A-Za-z0-9_-]+$"))
+    return cache_lookup(figures, known, ["image_phash"]).withColumnRenamed("hash_hit", "phash_hit")
+
+
+def missed_images(pages: DataFrame, most: int = 50) -> DataFrame:
+    """(doc, missed_image_pages, missed_image_count, missed_pages) of pages with pictures that the layout has missed (doc, page,
+    image_count): counts of all, and a list of the first ``most`` pages."""
+    each = pages.groupBy("doc", "page").agg(F.sum("image_count").alias("n"))
+    return each.groupBy("doc").agg(F.count(F.lit(1)).alias("missed_image_pages"), F.sum("n").alias("missed_image_count"), F.slice(F.array_sort(F.collect_list("page")), 1, most).alias("missed_pages"))
+
+
 def vision_coverage(figures: DataFrame) -> DataFrame:
     """Per document: counts of figures, descriptions missing and failed; above 10 % missing the document fails."""
     n = figures.groupBy("doc").agg(F.count(F.lit(1)).alias("total"), F.count_if("missing").alias("missing"), F.count_if("errored").alias("errored"))

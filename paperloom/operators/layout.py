@@ -2,22 +2,25 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from paperloom.functions import text
 from paperloom.operators.figures import first_sound_region
 from paperloom.operators.pages import box_of
+from paperloom.operators.sections import FURNITURE, ORPHAN_LENGTH
+
+SUPPLEMENT = 1_000_000
 
 
 def figures(layouts: DataFrame, supplement: DataFrame | None = None) -> DataFrame:
     """(doc, pos, figure_id, page, polygon, caption): a row for each figure of layouts (doc, figures) that has a page and a polygon in
-    one region; pictures found besides (doc, figure_id, page, polygon, caption) come after them."""
+    one region; pictures found besides (doc, figure_id, page, polygon, caption) come after them, by page and id."""
     each = layouts.select("doc", F.posexplode("figures").alias("pos", "f"))
     region = first_sound_region(F.col("f.boundingRegions"))
     out = each.select("doc", "pos", F.coalesce(F.nullif("f.id", F.lit("")), F.concat(F.lit("fig_"), F.col("pos").cast("string"))).alias("figure_id"), region["pageNumber"].alias("page"), region["polygon"].alias("polygon"), text.strip(F.coalesce("f.caption.content", F.lit(""))).alias("caption")).where("page IS NOT NULL")
     if supplement is not None:
-        out = out.unionByName(supplement.withColumn("pos", F.lit(1_000_000)))
+        out = out.unionByName(supplement.withColumn("pos", F.lit(SUPPLEMENT - 1) + F.row_number().over(Window.partitionBy("doc").orderBy("page", "figure_id"))))
     return out
 
 
@@ -44,6 +47,40 @@ def whole_page_box(page: Column, w_in: Column, h_in: Column) -> Column:
     return F.when(page.isNotNull(), F.array(box)).otherwise(F.array().cast("array<struct<page:int,x_in:double,y_in:double,w_in:double,h_in:double>>"))
 
 
+def crop_box(polygon: Column, w_in: Column, h_in: Column, pad: float = 0.05) -> Column:
+    """struct<x_in, y_in, w_in, h_in>: what is cut out for a figure, with a margin and within the page, to 4 digits; null where nothing is left."""
+    b = box_of(polygon)
+    x0, y0 = F.greatest(b["x_in"] - pad, F.lit(0.0)), F.greatest(b["y_in"] - pad, F.lit(0.0))
+    x1, y1 = F.least(b["x_in"] + b["w_in"] + pad, w_in), F.least(b["y_in"] + b["h_in"] + pad, h_in)
+    return F.when(b.isNotNull() & (x1 > x0) & (y1 > y0), F.struct(F.round(x0, 4).alias("x_in"), F.round(y0, 4).alias("y_in"), F.round(x1 - x0, 4).alias("w_in"), F.round(y1 - y0, 4).alias("h_in")))
+
+
+def _each_page(spans: DataFrame) -> DataFrame:
+    return spans.select("key", "doc", F.explode(F.sequence("first_page", "last_page")).alias("page"))
+
+
+def span_confidence(spans: DataFrame, words: DataFrame) -> DataFrame:
+    """(key, ocr_min_confidence): the least confidence of words (doc, page, confidence) on the pages of spans (key, doc, first_page, last_page)."""
+    least = words.groupBy("doc", "page").agg(F.min("confidence").alias("c"))
+    return _each_page(spans).join(least, ["doc", "page"], "left").groupBy("key").agg(F.round(F.min("c"), 4).alias("ocr_min_confidence"))
+
+
+def footnotes(spans: DataFrame, paras: DataFrame) -> DataFrame:
+    """(key, footnotes): what stands in footnotes (doc, page, pos, role, content) on the pages of spans, by page and position, up to
+    500 characters of each."""
+    notes = paras.where("lower(role) = 'footnote' AND content <> ''").select("doc", "page", F.struct("page", "pos", F.substring("content", 1, 500).alias("content")).alias("n"))
+    return _each_page(spans).join(notes, ["doc", "page"], "left").groupBy("key").agg(F.transform(F.array_sort(F.collect_list("n")), lambda n: n["content"]).alias("footnotes"))
+
+
+def orphan_paragraphs(paras: DataFrame, sections: DataFrame) -> DataFrame:
+    """(doc, page, content, paragraphs): by page, the paragraphs (doc, page, pos, referenced, role, content) that no section refers to,
+    that are no furniture, long enough, and on a page that no section (doc, page_start, page_end) covers."""
+    covered = sections.select("doc", F.explode(F.sequence("page_start", "page_end")).alias("page"))
+    stray = paras.where(~F.col("referenced") & ~F.lower(F.coalesce("role", F.lit(""))).isin(*sorted(FURNITURE)) & (F.length("content") >= ORPHAN_LENGTH)).join(covered, ["doc", "page"], "left_anti")
+    ordered = F.transform(F.array_sort(F.collect_list(F.struct("pos", "content"))), lambda x: x["content"])
+    return stray.groupBy("doc", "page").agg(F.array_join(ordered, "\n").alias("content"), F.count(F.lit(1)).alias("paragraphs"))
+
+
 def total_pages(layouts: DataFrame) -> DataFrame:
     return layouts.select("doc", F.nullif(F.size("pages"), F.lit(0)).alias("pdf_total_pages"))
 

@@ -7,9 +7,17 @@ from pyspark.sql import functions as F
 
 from paperloom.functions import ids, markers, text
 from paperloom.operators import figures, pages, tables
-from paperloom.plans.text_queries import semantic_diagram, semantic_text
+from paperloom.operators.semantic import semantic_diagram, semantic_text
 from paperloom.schemas import RECORD, RECORD_TYPES
 
+#: Fields that come from a document's metadata.
+MAPPINGS = {"metadata_operationalarea": "operationalarea", "metadata_functionalarea": "functionalarea", "metadata_doctype": "doctype", "metadata_storage_file_extension": "filetype"}
+
+
+def mapped_fields(df: DataFrame) -> DataFrame:
+    """Rows with the fields of a document's metadata under the names that they have in the index."""
+    return df.withColumnsRenamed(MAPPINGS)
+
 
 def provenance(df: DataFrame, kind: str, version: str, now: Column) -> DataFrame:
     """The fields of every kind: its type, the parent in the one column of that type, versions and time."""

@@ -237,9 +237,20 @@ class SearchRequest:
     window: int = 50
 
 
+def matching(records: DataFrame, filter_: str = "") -> DataFrame:
+    """The records that a filter lets through; all of them without one."""
+    return records.where(parse_filter(filter_, records.columns)) if filter_ else records
+
+
+def count(found: DataFrame) -> DataFrame:
+    """(count): the number of all that is found, beside the hits and facets."""
+    return found.agg(F.count(F.lit(1)).alias("count"))
+
+
 def search(records: DataFrame, request: SearchRequest, key: str = "id", text: str = "chunk", vector: str = "embedding") -> tuple[DataFrame, dict[str, DataFrame]]:
-    """The hits, best first, with ``score``; and the facets over all that the filter lets through."""
-    rows = records.where(parse_filter(request.filter, records.columns)) if request.filter else records
+    """The hits, best first, with ``score``, of equal ones those with the better chunk_quality_score; and the facets over all that the
+    filter lets through."""
+    rows = matching(records, request.filter)
     rankings = []
     if request.search:
         rankings.append(top(bm25(rows, request.search, key, text), key, request.window))
@@ -250,6 +261,7 @@ def search(records: DataFrame, request: SearchRequest, key: str = "id", text: st
     else:
         scored = fuse(rankings, key) if len(rankings) > 1 else rankings[0]
         best = top(scored, key, request.top)
-        hits = rows.join(F.broadcast(best), key).orderBy(F.desc("score"), key)
+        quality = [F.desc("chunk_quality_score")] if "chunk_quality_score" in rows.columns else []
+        hits = rows.join(F.broadcast(best), key).orderBy(F.desc("score"), *quality, key)
     fields = request.select or records.columns
     return hits.select(*fields, "score"), {f: facet(rows, f) for f in request.facets}

@@ -38,6 +38,23 @@ def purges(plan: DataFrame, most: int) -> DataFrame:
     return targets
 
 
+def plan_with(kept: DataFrame, targets: DataFrame, key: str = "name") -> DataFrame:
+    """(key, change): what a purge takes, and what it leaves."""
+    gone = targets.select(key).distinct()
+    return gone.select(key, F.lit("purge").alias("change")).unionByName(purge(kept.select(key).distinct(), gone, key).select(key, F.lit("keep").alias("change")))
+
+
+def requested(blobs: DataFrame, wanted: DataFrame) -> DataFrame:
+    """(name, found): each document that is asked for, and whether it is there."""
+    return wanted.select("name").distinct().join(blobs.select("name", F.lit(True).alias("b")).distinct(), "name", "left").select("name", F.coalesce("b", F.lit(False)).alias("found"))
+
+
+def run_counters(results: DataFrame, keys: list[str]) -> DataFrame:
+    """(keys, processed, skipped, failed): how many of a run's results say so."""
+    low, fail = F.lower("result"), F.contains("result", F.lit("FAIL"))
+    return results.groupBy(*keys).agg(F.count_if(F.contains(low, F.lit("ok")) & ~fail).alias("processed"), F.count_if(F.contains(low, F.lit("skip"))).alias("skipped"), F.count_if(fail).alias("failed"))
+
+
 def purge(records: DataFrame, targets: DataFrame, key: str = "name") -> DataFrame:
     return records.join(targets.select(key), key, "left_anti")
 

@@ -114,16 +114,14 @@ _SPANS = Made("supplier", ("s_suppkey AS doc", "CAST(s_suppkey % 4 + 1 AS INT) A
 
 @query(f"SELECT s.doc, min(confidence) AS ocr_min FROM {_SPANS.sql()} s LEFT JOIN {_WORDS.sql()} w ON w.doc = s.doc AND w.page BETWEEN first_page AND last_page GROUP BY s.doc")
 def ocr_min_confidence(spark: SparkSession, d: str) -> DataFrame:
-    each = _SPANS.df(spark, d).select("doc", F.explode(F.sequence("first_page", "last_page")).alias("page"))
-    least = _WORDS.df(spark, d).groupBy("doc", "page").agg(F.min("confidence").alias("c"))
-    return each.join(least, ["doc", "page"], "left").groupBy("doc").agg(F.min("c").alias("ocr_min"))
+    spans = _SPANS.df(spark, d).withColumn("key", F.col("doc"))
+    return layout.span_confidence(spans, _WORDS.df(spark, d)).select(F.col("key").alias("doc"), F.col("ocr_min_confidence").alias("ocr_min"))
 
 
 @query(f"SELECT s.doc, coalesce(list(left(content, 500) ORDER BY page, pos) FILTER (content IS NOT NULL), []) AS footnotes FROM {_SPANS.sql()} s LEFT JOIN (SELECT * FROM {_WORDS.sql()} WHERE is_note) w ON w.doc = s.doc AND w.page BETWEEN first_page AND last_page GROUP BY s.doc")
 def footnotes_by_page(spark: SparkSession, d: str) -> DataFrame:
-    each = _SPANS.df(spark, d).select("doc", F.explode(F.sequence("first_page", "last_page")).alias("page"))
-    notes = _WORDS.df(spark, d).where("is_note").select("doc", "page", F.struct("page", "pos", F.substring("content", 1, 500).alias("content")).alias("n"))
-    return each.join(notes, ["doc", "page"], "left").groupBy("doc").agg(F.transform(F.array_sort(F.collect_list("n")), lambda n: n["content"]).alias("footnotes"))
+    paras = _WORDS.df(spark, d).withColumn("role", F.when(F.col("is_note"), "footnote").otherwise(""))
+    return layout.footnotes(_SPANS.df(spark, d).withColumn("key", F.col("doc")), paras).select(F.col("key").alias("doc"), "footnotes")
 
 
 PARAS = Made("lineitem", ("l_suppkey AS doc", "CAST(l_linenumber + l_partkey % 20 AS INT) AS page", "l_orderkey * 8 + l_linenumber AS pos", "l_partkey % 3 = 0 AS referenced", "CASE WHEN l_partkey % 5 = 0 THEN 'pageFooter' ELSE '' END AS role", "concat('a paragraph of order ', l_orderkey, CASE WHEN l_partkey % 2 = 0 THEN ' with parts' ELSE '' END) AS content"))
@@ -135,9 +133,7 @@ _COVER = Made("supplier", ("s_suppkey AS doc", "CAST(s_suppkey % 9 + 1 AS INT) A
     WHERE NOT referenced AND role = '' AND length(content) >= 30 AND NOT (page BETWEEN page_start AND page_end) GROUP BY p.doc, page"""
 )
 def orphan_paragraphs(spark: SparkSession, d: str) -> DataFrame:
-    covered = _COVER.df(spark, d).select("doc", F.explode(F.sequence("page_start", "page_end")).alias("page"))
-    left = PARAS.df(spark, d).where("NOT referenced AND role = '' AND length(content) >= 30").join(covered, ["doc", "page"], "left_anti")
-    return left.groupBy("doc", "page").agg(F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("pos", "content"))), lambda x: x["content"]), "\n").alias("content"), F.count(F.lit(1)).alias("paragraphs"))
+    return layout.orphan_paragraphs(PARAS.df(spark, d), _COVER.df(spark, d))
 
 
 TABLES = Made("orders", ("CAST(o_custkey % 200 AS INT) AS doc", "o_orderkey AS pos", "CAST(o_orderkey % 23 + 1 AS INT) AS first_page", "CAST(o_orderkey % 23 + 1 + o_custkey % 2 AS INT) AS last_page", "CAST(o_custkey % 3 AS INT) AS cols", "CASE WHEN o_orderkey % 4 = 0 THEN 'Ratings' ELSE '' END AS caption"))

@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from paperloom.operators import figures, upkeep
 from paperloom.plans.registry import query
 from paperloom.sources.tables import Made, table
+from paperloom.streaming import incremental
 
 FIGURES = Made(
     "part",
@@ -135,7 +136,7 @@ def cache_counts(spark: SparkSession, d: str) -> DataFrame:
 
 @query(f"SELECT name FROM {BLOBS.sql()} EXCEPT SELECT name FROM {INDEX.sql()} WHERE records > 2")
 def incremental_todo(spark: SparkSession, d: str) -> DataFrame:
-    return BLOBS.df(spark, d).select("name").join(INDEX.df(spark, d).where("records > 2"), "name", "left_anti").distinct()
+    return incremental.todo(BLOBS.df(spark, d).select("name"), INDEX.df(spark, d).where("records > 2")).distinct()
 
 
 @query("SELECT d.doc_id, CASE WHEN quality IS NULL THEN 'not_started' WHEN toxic = 1 THEN 'blocked' ELSE 'done' END AS state FROM documents d LEFT JOIN labels l USING (doc_id)")
@@ -190,10 +191,8 @@ def field_contracts(spark: SparkSession, d: str) -> DataFrame:
 
 @query("SELECT name, change FROM (SELECT 'q' || l_orderkey::VARCHAR AS name, CASE WHEN bool_or(l_returnflag = 'R') THEN 'purge' ELSE 'keep' END AS change FROM lineitem GROUP BY 1)")
 def purge_targets(spark: SparkSession, d: str) -> DataFrame:
-    lines = table(spark, d, "lineitem").select(F.concat(F.lit("q"), F.col("l_orderkey").cast("string")).alias("name"), "l_returnflag")
-    targets = lines.where("l_returnflag = 'R'").select("name").distinct().select("name", F.lit("purge").alias("change"))
-    kept = upkeep.purge(lines.select("name").distinct(), targets).select("name", F.lit("keep").alias("change"))
-    return targets.unionByName(kept)
+    lines = table(spark, d, "lineitem").select(F.concat(F.lit("q"), F.col("l_orderkey").cast("string")).alias("name"), F.when(F.col("l_returnflag") == "R", "DELETED").otherwise("STABLE").alias("change"))
+    return upkeep.plan_with(lines, upkeep.purges(lines, 1 << 62))
 
 
 @query("SELECT 'r' || event_id::VARCHAR AS recordId, value * 2 AS data, CASE WHEN value IS NULL OR value > 50 THEN ['too large'] ELSE [] END AS errors FROM (SELECT event_id, CASE WHEN value <= 50 THEN value END AS value FROM events)")

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from paperloom.functions import ids, text
 from paperloom.operators.chunks import chunk
+from paperloom.operators.semantic import semantic_diagram, semantic_text
 from paperloom.plans.registry import query
 from paperloom.sources.tables import MANUAL, table
 
@@ -201,16 +202,6 @@ def ids_and_hashes(spark: SparkSession, d: str) -> DataFrame:
 _TEXT_ROW = "SELECT doc, pos, text, concat('Chapter ', doc % 9) AS h1, CASE WHEN pos > 2 THEN concat('Part ', pos) ELSE '' END AS h2 FROM " + MANUAL.sql()
 
 
-def semantic_text(df: DataFrame) -> DataFrame:
-    """The line-by-line form of a chunk that is embedded; empty lines are left out."""
-    line = lambda label, value: F.when(value != "", F.concat(F.lit(label), value))
-    refs = F.concat_ws(" | ", F.nullif("figure_ref", F.lit("")), F.nullif("table_ref", F.lit("")), F.nullif(F.array_join(text.equation_refs(F.col("chunk")), ", "), F.lit("")), F.nullif(F.array_join(F.transform(text.section_refs(F.col("chunk")), lambda s: F.concat(F.lit("Section "), s)), ", "), F.lit("")))
-    path = F.concat_ws(" > ", *[F.nullif(h, F.lit("")) for h in ("header_1", "header_2", "header_3")])
-    body = text.strip(text.strip_inline_tables(text.strip_running(F.col("chunk"))))
-    parts = (line("Source: ", F.col("source_file")), line("Section: ", path), line("Page: ", F.col("printed_page_label")), line("References: ", refs), line("Callouts: ", F.array_join(text.callouts(F.col("chunk")), " || ")), F.nullif(body, F.lit("")))
-    return df.withColumn("chunk_for_semantic", F.concat_ws("\n", *parts))
-
-
 @query(
     f"""SELECT doc, pos, concat_ws(chr(10), 'Source: m' || (doc % 5)::VARCHAR || '.pdf', 'Section: ' || h1 || CASE WHEN h2 <> '' THEN ' > ' || h2 ELSE '' END, 'References: ' || concat_ws(' | ', nullif(array_to_string({_refs_sql(text.EQUATION, 2, "'Equation ' || x")}, ', '), ''),
     nullif(array_to_string(list_transform({_refs_sql(text.SECTION, 1)}, lambda x: 'Section ' || x), ', '), '')), 'Callouts: ' || nullif(array_to_string(list_transform(list_zip(regexp_extract_all(text, '{text.CALLOUT}', 1), regexp_extract_all(text, '{text.CALLOUT}', 2)), lambda z: upper(z[1]) || ': ' || trim(z[2])), ' || '), ''),
@@ -221,14 +212,6 @@ def semantic_string_text(spark: SparkSession, d: str) -> DataFrame:
     return semantic_text(rows).select("doc", "pos", F.col("chunk_for_semantic").alias("semantic"))
 
 
-def semantic_diagram(df: DataFrame) -> DataFrame:
-    bits = F.concat_ws(" ", F.nullif("figure_ref", F.lit("")), F.when(F.col("diagram_category") != "", F.concat(F.lit("("), "diagram_category", F.lit(")"))))
-    line = lambda label, value: F.when(F.coalesce(value, F.lit("")) != "", F.concat(F.lit(label), value))
-    around = F.substring(text.strip(F.col("context_text")), 1, 1000)
-    parts = (line("Source: ", F.col("source_file")), line("Page: ", F.col("physical_pdf_page").cast("string")), F.coalesce(line("Diagram: ", bits), F.lit("Diagram")), F.nullif(text.strip(F.col("diagram_description")), F.lit("")), line("Context: ", around))
-    return df.withColumn("chunk_for_semantic", F.concat_ws("\n", *parts))
-
-
 @query(
     """SELECT p_partkey, concat_ws(chr(10), 'Source: ' || p_brand || '.pdf', 'Page: ' || p_size::VARCHAR, CASE WHEN p_size % 3 = 0 THEN 'Diagram' ELSE 'Diagram: Figure ' || p_size::VARCHAR || CASE WHEN p_size % 2 = 0 THEN ' (schematic)' ELSE '' END END,
     p_type, CASE WHEN p_size % 5 <> 0 THEN 'Context: ' || p_name END) AS semantic FROM part"""

@@ -77,6 +77,11 @@ def write_records(records: DataFrame, path: str) -> None:
     latest(records, "id", ["last_indexed_at", "chunk_id"]).write.mode("overwrite").partitionBy("record_type").parquet(path)
 
 
+def upsert_records(spark: SparkSession, path: str, records: DataFrame, to: str) -> None:
+    """What is indexed with the records put in, of equal ids the latest, written to another place: run again, it gives the same."""
+    latest(spark.read.parquet(path).unionByName(records, allowMissingColumns=True), "id", ["last_indexed_at", "chunk_id"]).write.mode("overwrite").partitionBy("record_type").parquet(to)
+
+
 def delete_records(spark: SparkSession, path: str, keys: DataFrame, to: str, key: str = "id") -> None:
     """The records without those keys, written to another place, as a Parquet folder can't lose rows where it stands."""
     spark.read.parquet(path).join(keys.select(key), key, "left_anti").write.mode("overwrite").partitionBy("record_type").parquet(to)
