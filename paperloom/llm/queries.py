@@ -51,7 +51,7 @@ def op6_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op9_simhash_near_dup(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Each document that goes, the one of its class that stays, and how many other texts it is linked to."""
+    """Each document that goes, the one of its class that stays, and how many links to other texts were verified for it."""
     gone = simhash.duplicates(table(spark, sf_dir, "documents"))
     name = lambda c: F.nullif(c, F.lit((1 << 63) - 1))
     return gone.select(name(F.col("id")).alias("doc_id"), name(F.col("keep_id")).alias("duplicate_of"), "links")

@@ -11,7 +11,10 @@ gets a forest of its own, deeper and with the more tries that this depth asks fo
 All nodes of a run are compared. Of the pairs within ``radius`` bits, which may be quadratic in a group of near copies, a
 sparse part is handed on: each node with the first of the group it falls to, with its nearest ones there, and with the
 nearest one of every other group that it touches. So a link that fails the verification isn't the only one that a node has.
-Candidates are verified by the Jaccard similarity of their whole token sets. Connected documents form a class.
+Candidates are verified by the Jaccard similarity of their whole token sets. Nodes with pairs that weren't handed on, or that another
+one represented, are walked again in the same tries: all their pairs within ``radius`` whose nodes the verified links don't join yet
+are handed on then. So the classes are those of all pairs that meet, while pairs within a class needn't all be compared.
+Connected documents form a class.
 
 ``radius`` and ``design`` are bits of 64. Sets with a Jaccard of 0.7 lie 12.3 of 64 bits apart on average, with a deviation
 of 2.2 in two words; both stand beyond that, so that such pairs, not only closer ones, are found at any size. Sets are
@@ -59,6 +62,8 @@ DEEPEST = 60
 #: Text handled at once, in bytes; pairs compared at once.
 SLICE = 1 << 20
 CELLS = 1 << 18
+#: Stands for another node with one that has pairs beside its links.
+REST = -1
 FP = [f"fp{w}" for w in range(WORDS)]
 TURN = np.uint64(1 << 63)
 
@@ -221,14 +226,15 @@ def leaders(keys: np.ndarray, radius: int) -> np.ndarray:
     return led
 
 
-def compare(keys: np.ndarray, radius: int) -> np.ndarray:
-    """Links (i, j), i < j, between keys within the radius: with a group's leader, the nearest of the group, and the nearest of each other group."""
+def compare(keys: np.ndarray, radius: int, rest: list[np.ndarray] | None = None) -> np.ndarray:
+    """Links (i, j), i < j, between keys within the radius: with a group's leader, the nearest of the group, and the nearest of each other group.
+    ``rest`` gets the positions of keys that have other pairs within the radius, too."""
     sub = with_neighbours(keys, radius)
     if not len(sub):
         return np.zeros((0, 2), np.int64)
     k = keys[sub]
     led = leaders(k, radius)
-    found = [np.stack([led, np.arange(len(k))], axis=1)]
+    found, pairs = [np.stack([led, np.arange(len(k))], axis=1)], np.zeros(len(k), np.int64)
     step = max(1, CELLS // len(k))
     for s in range(0, len(k), step):
         d = distances(k[s : s + step], k)
@@ -236,6 +242,7 @@ def compare(keys: np.ndarray, radius: int) -> np.ndarray:
         x, y = np.nonzero(d <= radius)
         if not len(x):
             continue
+        pairs += np.bincount(s + x, minlength=len(k))
         group, d = led[y], d[x, y]
         order = np.lexsort((y, d, group, x))
         x, y, group = x[order], y[order], group[order]
@@ -246,19 +253,42 @@ def compare(keys: np.ndarray, radius: int) -> np.ndarray:
         use = rank < np.where(group == led[s + x], NEAREST, 1)
         found.append(np.stack([s + x[use], y[use]], axis=1))
     links = np.sort(np.concatenate(found), axis=1)
-    return sub[np.unique(links[links[:, 0] != links[:, 1]], axis=0)]
-
-
-def climb(keys: np.ndarray, depth: int, radius: int, crowd: int, tight: int) -> tuple[np.ndarray, np.ndarray]:
-    """Links of one trie between sorted keys that share a prefix of the depth, and the positions of those that are too crowded there."""
+    links = np.unique(links[links[:, 0] != links[:, 1]], axis=0)
+    if rest is not None:
+        rest.append(sub[pairs > np.bincount(links.ravel(), minlength=len(k))])
+    return sub[links]
+
+
+def across(keys: np.ndarray, groups: np.ndarray, radius: int) -> Iterator[np.ndarray]:
+    """All links (i, j) between keys of different groups within the radius, a part at a time."""
+    order = np.argsort(groups, kind="stable")
+    k, ends = keys[order], np.searchsorted(groups[order], groups[order], side="right")
+    s = 0
+    while s < len(k) and (first := int(ends[s])) < len(k):
+        step = max(1, CELLS // (len(k) - first))
+        x, y = np.nonzero(distances(k[s : s + step], k[first:]) <= radius)
+        x, y = x + s, y + first
+        use = y >= ends[x]
+        if use.any():
+            yield order[np.stack([x[use], y[use]], axis=1)]
+        s += step
+
+
+def _runs(keys: np.ndarray, of: np.ndarray, depth: int) -> list[np.ndarray]:
+    """Positions of sorted keys, split where the prefix of the depth changes."""
+    return np.split(of, np.flatnonzero(np.diff(keys[of, 0] >> np.uint64(64 - depth))) + 1)
+
+
+def climb(keys: np.ndarray, depth: int, radius: int, crowd: int, tight: int, rest: list[np.ndarray] | None = None) -> tuple[np.ndarray, np.ndarray]:
+    """Links of one trie between sorted keys that share a prefix of the depth, and the positions of those that are too crowded there.
+    ``rest`` gets the positions of keys of which not all pairs within the radius are among the links."""
     links, crowded = [np.zeros((0, 2), np.int64)], [np.zeros(0, np.int64)]
-    runs = lambda of, at: np.split(of, np.flatnonzero(np.diff(keys[of, 0] >> np.uint64(64 - at))) + 1)
-    for run in runs(np.arange(len(keys)), depth):
+    for run in _runs(keys, np.arange(len(keys)), depth):
         if len(run) > crowd and depth < DEEPEST:
             alive = run
             for at in range(DEEPEST, depth, -4):
                 left = []
-                for part in runs(alive, at):
+                for part in _runs(keys, alive, at):
                     parts = np.array_split(part, -(-len(part) // crowd)) if at == DEEPEST else [part]
                     for p in parts:
                         if 1 < len(p) <= crowd:
@@ -267,96 +297,148 @@ def climb(keys: np.ndarray, depth: int, radius: int, crowd: int, tight: int) ->
                             p = p[np.unique(led)]
                         left.append(p)
                 alive = np.concatenate(left)
-            if len(alive) > crowd:
-                crowded.append(alive)
+            if len(alive) > crowd:  # all go on, those that are represented here, too
+                crowded.append(run)
                 continue
+            if rest is not None and len(alive) < len(run):
+                rest.append(run)
             run = alive
         if len(run) > 1:
-            links.append(run[compare(keys[run], radius)])
+            left: list[np.ndarray] = []
+            links.append(run[compare(keys[run], radius, left)])
+            if rest is not None:
+                rest += [run[x] for x in left]
     return np.concatenate(links), np.concatenate(crowded)
 
 
-def _spread(trees: range):
+def _spread(trees: range, own: tuple[str, ...] = ("node",)):
     def spread(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             fps = np.stack([batch.column(c).to_numpy().view(np.uint64) for c in FP], axis=1)
             for t in trees:
                 # the order of signed numbers is that of unsigned ones with the first bit turned
-                yield pa.RecordBatch.from_arrays([pa.array(np.full(len(fps), t, np.int32)), *_columns(permuted(fps, t) ^ TURN), batch.column("node")], ["tree", *FP, "node"])
+                yield pa.RecordBatch.from_arrays([pa.array(np.full(len(fps), t, np.int32)), *_columns(permuted(fps, t) ^ TURN), *(batch.column(c) for c in own)], ["tree", *FP, *own])
 
     return spread
 
 
-def _walk(depth: int, radius: int, crowd: int, tight: int, hold: int = 1 << 18):
-    def out(keys: np.ndarray, nodes: np.ndarray) -> pa.RecordBatch:
-        links, crowded = climb(keys, depth, radius, crowd, tight)
-        a = pa.array(nodes[np.concatenate([links[:, 0], crowded])])
-        b = pa.concat_arrays([pa.array(nodes[links[:, 1]]), pa.nulls(len(crowded), pa.int64())])
-        return pa.RecordBatch.from_arrays([a, b], ["a", "b"])
+def _links(a: np.ndarray, b: np.ndarray, crowded: np.ndarray) -> pa.RecordBatch:
+    return pa.RecordBatch.from_arrays([pa.array(np.concatenate([a, crowded])), pa.concat_arrays([pa.array(b), pa.nulls(len(crowded), pa.int64())])], ["a", "b"])
+
+
+def _first(depth: int, radius: int, crowd: int, tight: int):
+    """Links of a trie; with null, nodes that are too crowded; with ``REST``, nodes that have other pairs, too."""
+
+    def out(keys: np.ndarray, own: np.ndarray) -> Iterator[pa.RecordBatch]:
+        rest: list[np.ndarray] = []
+        links, crowded = climb(keys, depth, radius, crowd, tight, rest)
+        left = np.unique(np.concatenate([np.zeros(0, np.int64), *rest]))
+        nodes = own[:, 0]
+        yield _links(nodes[np.concatenate([links[:, 0], left])], np.concatenate([nodes[links[:, 1]], np.full(len(left), REST)]), nodes[crowded])
+
+    return out
+
+
+def _second(depth: int, radius: int):
+    """Links of a trie between nodes with different roots."""
+
+    def out(keys: np.ndarray, own: np.ndarray) -> Iterator[pa.RecordBatch]:
+        for run in _runs(keys, np.arange(len(keys)), depth):
+            for links in across(keys[run], own[run, 1], radius):
+                yield _links(own[run[links[:, 0]], 0], own[run[links[:, 1]], 0], run[:0])
+
+    return out
 
+
+def _walk(depth: int, out, own: tuple[str, ...] = ("node",), hold: int = 1 << 18):
     def walk(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        tree, keys, nodes = -1, np.zeros((0, WORDS), np.uint64), np.zeros(0, np.int64)
+        tree, keys, nodes = -1, np.zeros((0, WORDS), np.uint64), np.zeros((0, len(own)), np.int64)
         for batch in batches:
-            trees, own = batch.column("tree").to_numpy(), batch.column("node").to_numpy()
+            trees, ids = batch.column("tree").to_numpy(), np.stack([batch.column(c).to_numpy() for c in own], axis=1)
             now = np.stack([batch.column(c).to_numpy().view(np.uint64) for c in FP], axis=1) ^ TURN
             cuts = [0, *(np.nonzero(np.diff(trees))[0] + 1).tolist(), len(trees)]
             for s, e in zip(cuts, cuts[1:], strict=False):
                 if s == e:
                     continue
                 if trees[s] != tree and len(keys):
-                    yield out(keys, nodes)
+                    yield from out(keys, nodes)
                     keys, nodes = keys[:0], nodes[:0]
                 tree = int(trees[s])
-                keys, nodes = np.concatenate([keys, now[s:e]]), np.concatenate([nodes, own[s:e]])
+                keys, nodes = np.concatenate([keys, now[s:e]]), np.concatenate([nodes, ids[s:e]])
                 if len(keys) > hold:  # all but the last run, which may go on
                     last = int(np.searchsorted(keys[:, 0] >> np.uint64(64 - depth), keys[-1, 0] >> np.uint64(64 - depth)))
                     if last:
-                        yield out(keys[:last], nodes[:last])
+                        yield from out(keys[:last], nodes[:last])
                         keys, nodes = keys[last:], nodes[last:]
         if len(keys):
-            yield out(keys, nodes)
+            yield from out(keys, nodes)
 
     return walk
 
 
-def candidate_links(nodes: DataFrame, radius: int = RADIUS, bucket: int = BUCKET, design: int = DESIGN, recall: float = RECALL) -> DataFrame:
-    """(a, b), a < b: links between nodes (node, fp0, ...) within the radius, found by the forest."""
+def _passes(rows: DataFrame, tries: range, depth: int, out, own: tuple[str, ...] = ("node",)) -> list[DataFrame]:
+    """What the tries give, with so many at once that their shuffle is bounded."""
+    passes = []
+    columns = ", ".join(f"{c} bigint" for c in (*FP, *own))
+    for first in range(tries.start, tries.stop, PASS):
+        some = range(first, min(first + PASS, tries.stop))
+        spread = rows.mapInArrow(lean(_spread(some, own)), f"tree int, {columns}")
+        spread = spread.repartition("tree", F.shiftright(FP[0], 64 - depth)).sortWithinPartitions("tree", *FP)
+        passes.append(materialise(spread.mapInArrow(lean(_walk(depth, out, own)), "a bigint, b bigint").distinct(), "simhash-links"))
+    return passes
+
+
+def _all(frames: list[DataFrame]) -> DataFrame:
+    found = frames[0]
+    for f in frames[1:]:
+        found = found.unionByName(f)
+    return found
+
+
+def _ordered(links: DataFrame) -> DataFrame:
+    return links.where("b >= 0").select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
+
+
+def candidates(nodes: DataFrame, radius: int = RADIUS, bucket: int = BUCKET, design: int = DESIGN, recall: float = RECALL) -> tuple[DataFrame, list[tuple[range, int, DataFrame]]]:
+    """(a, b), a < b: links between nodes (node, fp0, ...) within the radius, found by the forest; and for each depth of it, its tries, itself,
+    and the nodes (node) that have other pairs there."""
     rows = nodes.select("node", *FP)
     depth, trees = forest(rows.count(), bucket, design, recall, WORDS)
-    begun, found = 0, None
+    begun, found, rest = 0, [], []
     while True:
-        passes = []
-        for first in range(begun, begun + trees, PASS):
-            some = range(first, min(first + PASS, begun + trees))
-            spread = rows.mapInArrow(lean(_spread(some)), f"tree int, {', '.join(f'{c} bigint' for c in FP)}, node bigint")
-            spread = spread.repartition("tree", F.shiftright(FP[0], 64 - depth)).sortWithinPartitions("tree", *FP)
-            passes.append(materialise(spread.mapInArrow(lean(_walk(depth, radius * WORDS, CROWD * bucket, TIGHT * WORDS)), "a bigint, b bigint").distinct(), "simhash-links"))
-        for p in passes:
-            found = p if found is None else found.unionByName(p)
-        crowded = [p.where("b IS NULL").select("a") for p in passes]
-        again = crowded[0]
-        for p in crowded[1:]:
-            again = again.unionByName(p)
+        passes = _passes(rows, range(begun, begun + trees), depth, _first(depth, radius * WORDS, CROWD * bucket, TIGHT * WORDS))
+        found += passes
+        rest.append((range(begun, begun + trees), depth, _all(passes).where(F.col("b") == REST).select(F.col("a").alias("node")).distinct()))
+        again = _all(passes).where("b IS NULL").select("a")
         if depth >= DEEPEST or again.isEmpty():
             break
         begun, depth = begun + trees, min(DEEPEST, depth + 4)
         trees = tries(depth, design, recall, WORDS)
         rows = materialise(nodes.join(again.distinct().withColumnRenamed("a", "node"), "node", "left_semi").select("node", *FP), "simhash-crowded")
-    return found.where("b IS NOT NULL").select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
+    return _ordered(_all(found)), rest
 
 
-def classes(docs: DataFrame, radius: int = RADIUS, jaccard: float = JACCARD, bucket: int = BUCKET, design: int = DESIGN, recall: float = RECALL, before: DataFrame | None = None) -> DataFrame:
-    """(id, h, __file, __at, keep_id, keep_h, keep_file, keep_at, links): every document of a class of two or more, the one that
-    stays, and the number of verified links to other sets of tokens. ``before``: documents in an earlier state, whose texts count
-    where they have an id that stands once in both."""
-    prints = signed(docs, before)
+def candidate_links(nodes: DataFrame, radius: int = RADIUS, bucket: int = BUCKET, design: int = DESIGN, recall: float = RECALL) -> DataFrame:
+    """The links of ``candidates``."""
+    return candidates(nodes, radius, bucket, design, recall)[0]
+
+
+def rest_links(nodes: DataFrame, roots: DataFrame, rest: list[tuple[range, int, DataFrame]], radius: int = RADIUS) -> DataFrame | None:
+    """(a, b), a < b: of the pairs within the radius that met and aren't links of ``candidates``, all whose nodes have different
+    roots (node, root; a node without is its own). None if there are none."""
+    own, found = ("node", "root"), []
+    for trees, depth, left in rest:
+        rows = nodes.join(left, "node", "left_semi").join(roots, "node", "left").select("node", *FP, F.coalesce("root", "node").alias("root"))
+        rows = materialise(rows, "simhash-rest")
+        if not rows.isEmpty():
+            found += _passes(rows, trees, depth, _second(depth, radius * WORDS), own)
+    found = [p for p in found if not p.isEmpty()]
+    return _ordered(_all(found)) if found else None
+
+
+def verify(links: DataFrame, nodes: DataFrame, prints: DataFrame, jaccard: float) -> DataFrame:
+    """The links (a, b) between nodes whose sets are alike. Sets are read by place."""
     place = prints.metadataColumn("_metadata")
-    doc = F.struct("id", "h", FILE, AT)
-    key = ["s", *FP]
-    nodes = prints.select(*key, "n", doc.alias("doc"), F.struct(F.xxhash64(place["file_path"]).alias("file"), place["row_index"].alias("at")).alias("set"))
-    # the id of a node is written, so it stays
-    nodes = materialise(nodes.groupBy(*key).agg(F.min("doc").alias("first"), F.min("set").alias("set"), F.first("n").alias("n"), F.count(F.lit(1)).alias("copies")).withColumn("node", F.monotonically_increasing_id()), "simhash-nodes")
-    links = candidate_links(nodes, radius, bucket, design, recall)
     side = lambda s: nodes.select(F.col("node").alias(s), F.col("n").alias(f"n_{s}"), F.col("set").alias(f"set_{s}"))
     # sets whose sizes differ too much can't be alike
     fit = F.least("n_a", "n_b") >= F.lit(jaccard) * F.greatest("n_a", "n_b")
@@ -367,9 +449,30 @@ def classes(docs: DataFrame, radius: int = RADIUS, jaccard: float = JACCARD, buc
     with_sets = pairs.select("a", "b").join(sets.select(F.col("node").alias("a"), F.col("tokens").alias("ta")), "a").join(sets.select(F.col("node").alias("b"), F.col("tokens").alias("tb")), "b")
     common = F.size(F.array_intersect("ta", "tb"))
     alike = with_sets.where(common >= F.lit(jaccard) * (F.size("ta") + F.size("tb") - common)).select("a", "b")
-    verified = materialise(alike, "simhash-verified")
+    return materialise(alike, "simhash-verified")
+
+
+def classes(docs: DataFrame, radius: int = RADIUS, jaccard: float = JACCARD, bucket: int = BUCKET, design: int = DESIGN, recall: float = RECALL, before: DataFrame | None = None) -> DataFrame:
+    """(id, h, __file, __at, keep_id, keep_h, keep_file, keep_at, links): every document of a class of two or more, the one that
+    stays, and the number of verified links to other sets of tokens (of pairs within a class, not all are compared). ``before``: documents in an earlier state, whose texts count
+    where they have an id that stands once in both."""
+    prints = signed(docs, before)
+    place = prints.metadataColumn("_metadata")
+    doc = F.struct("id", "h", FILE, AT)
+    key = ["s", *FP]
+    nodes = prints.select(*key, "n", doc.alias("doc"), F.struct(F.xxhash64(place["file_path"]).alias("file"), place["row_index"].alias("at")).alias("set"))
+    # the id of a node is written, so it stays
+    nodes = materialise(nodes.groupBy(*key).agg(F.min("doc").alias("first"), F.min("set").alias("set"), F.first("n").alias("n"), F.count(F.lit(1)).alias("copies")).withColumn("node", F.monotonically_increasing_id()), "simhash-nodes")
+    links, rest = candidates(nodes, radius, bucket, design, recall)
+    verified = verify(links, nodes, prints, jaccard)
+    roots = components(verified)
+    if (more := rest_links(nodes, roots, rest, radius)) is not None:
+        more = verify(more.join(links, ["a", "b"], "left_anti"), nodes, prints, jaccard)
+        if not more.isEmpty():
+            verified = verified.unionByName(more)
+            roots = components(verified)
     degree = verified.select(F.explode(F.array("a", "b")).alias("node")).groupBy("node").agg(F.count(F.lit(1)).alias("links"))
-    found = nodes.join(components(verified), "node", "left").join(degree, "node", "left").select(*key, F.coalesce("root", "node").alias("root"), "first", "copies", F.coalesce("links", F.lit(0)).cast("bigint").alias("links"))
+    found = nodes.join(roots, "node", "left").join(degree, "node", "left").select(*key, F.coalesce("root", "node").alias("root"), "first", "copies", F.coalesce("links", F.lit(0)).cast("bigint").alias("links"))
     whole = found.groupBy("root").agg(F.min("first").alias("keep"), F.sum("copies").alias("size")).where("size > 1")
     kept = found.join(whole, "root").select(*key, "keep", "links")
     out = prints.select(*key, "id", "h", FILE, AT).join(kept, key)

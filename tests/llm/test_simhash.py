@@ -221,3 +221,32 @@ def test_expected_recall_at_the_threshold_at_every_size():
         depth, trees = simhash.forest(nodes, words=simhash.WORDS)
         chance = lambda k: math.comb(bits, k) * apart**k * (1 - apart) ** (bits - k)
         assert sum(chance(k) * (1 - (1 - simhash.meet(depth, k, bits)) ** trees) for k in range(simhash.RADIUS * simhash.WORDS + 1)) >= 0.9, nodes
+
+
+def test_pairs_left_out_are_made_up_for(spark):
+    """Where links fail, the other pairs that met are handed on: classes are those of all pairs."""
+    r = np.random.default_rng(8)
+    center = r.integers(0, 2**63, 2).astype(np.uint64)
+    flips = np.zeros((300, 128), np.uint8)
+    for row in flips:
+        row[r.choice(128, 12, replace=False)] = 1
+    fps = np.packbits(flips, axis=1).view(">u8").astype(np.uint64) ^ center
+    near = simhash.distances(fps, fps) <= 2 * simhash.RADIUS
+    rest = []
+    links = simhash.compare(fps, 2 * simhash.RADIUS, rest)
+    left = np.concatenate(rest)
+    made_up = {tuple(sorted(left[p])) for part in simhash.across(fps[left], left, 2 * simhash.RADIUS) for p in part}
+    assert set(map(tuple, links.tolist())) | made_up == set(zip(*np.nonzero(np.triu(near, 1)), strict=True)) != set(map(tuple, links.tolist()))
+    depth, trees = simhash.forest(300, words=2)
+    met = set()
+    for t in range(trees):
+        prefix = simhash.permuted(fps, t)[:, 0] >> np.uint64(64 - depth)
+        met |= set(zip(*(x.tolist() for x in np.nonzero(np.triu(near & (prefix[:, None] == prefix[None, :]), 1))), strict=True))
+    alike = {p for p in met if hash(p) % 25 == 0}
+    nodes = spark.createDataFrame([(i, int(a), int(b)) for i, (a, b) in enumerate(fps.view(np.int64).tolist())], "node bigint, fp0 bigint, fp1 bigint")
+    found, rest = simhash.candidates(nodes)
+    first = {(x["a"], x["b"]) for x in found.collect()}
+    roots = _groups(first & alike, range(300))
+    more = {(x["a"], x["b"]) for x in simhash.rest_links(nodes, spark.createDataFrame(list(roots.items()), "node bigint, root bigint"), rest).collect()}
+    assert first <= met and more <= met and not any(roots[a] == roots[b] for a, b in more)
+    assert _groups((first | more) & alike, range(300)) == _groups(alike, range(300)) != roots
