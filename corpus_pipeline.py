@@ -1,8 +1,9 @@
 """Corpus pipeline over the table of documents: quality rules, line dedup, SimHash near-dedup, mixing, best-fit packing.
 
 Each stage takes (spark, docs, sf_dir) and works on all that the one before it kept. All but the last return the columns
-of documents, as they came and in their order; the last returns the packed pieces. Near-dedup also reads the table of documents,
-for the texts as they were before lines went: near copies lose what they share to line dedup, and no longer look alike.
+of documents, as they came and in their order; the last returns the packed pieces. Near-dedup compares what line dedup
+left, and also reads the table of documents, for the texts as they were before: near copies lose what they share to line dedup, and no longer
+look alike, while others look alike only without the lines that went.
 
 In every stage each row counts for itself, null ids and repeated rows included; texts of any length are handled whole; columns
 besides those of documents pass through, whatever they are called; an empty table gives an empty one.
@@ -28,9 +29,8 @@ def dedup_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Of each class of near duplicates, the first document stays. Documents whose id stands once here and in the table of documents
-    are compared by the text they have there; others, and those with null ids, by the one they have now. Texts without tokens
-    stay."""
+    """Of each class of near duplicates, the first document stays. All are compared by the text they have now; those whose
+    id stands once here and in the table of documents, also by the text they have there. Documents without tokens in either stay."""
     return simhash.near_dedup(docs, before=spark.read.parquet(f"{sf_dir}/documents.parquet"))
 
 

@@ -156,17 +156,17 @@ def _texts(docs: DataFrame) -> DataFrame:
 
 
 def _texts_before(docs: DataFrame, before: DataFrame) -> DataFrame:
-    """The rows of docs as ``_texts``, but with the text of ``before`` where an id stands once in both."""
+    """The rows of docs as ``_texts``; and where an id stands once in both and has another text in ``before``, once more with that."""
     here, there = _texts(docs), _texts(before)
     once = lambda df, s: df.where(F.col("id") != LAST).groupBy("id").agg(F.count(F.lit(1)).alias("n"), F.min(F.struct("h", FILE, AT)).alias(s)).where("n = 1").select("id", s)
-    both = materialise(once(here, "a").join(once(there, "b"), "id").select("a", "b"), "texts-before")
-    own = attach(here, both.select(F.col(f"a.{FILE}").alias("file"), F.col(f"a.{AT}").alias("at"), F.lit(True).alias("value")), "__known").where("__known IS NULL")
+    both = materialise(once(here, "a").join(once(there, "b"), "id").where("a.h != b.h").select("a", "b"), "texts-before")
     known = attach(there, both.select(F.col(f"b.{FILE}").alias("file"), F.col(f"b.{AT}").alias("at"), F.col("a").alias("value")), "__known").where("__known IS NOT NULL")
-    return own.drop("__known").unionByName(known.select("id", "__known.h", f"__known.{FILE}", f"__known.{AT}", "text"))
+    return here.unionByName(known.select("id", "__known.h", f"__known.{FILE}", f"__known.{AT}", "text"))
 
 
 def signed(docs: DataFrame, before: DataFrame | None = None) -> DataFrame:
-    """(id, h, __file, __at, fp0, ..., s, n, tokens) of documents that have tokens, written to the shared folder."""
+    """(id, h, __file, __at, fp0, ..., s, n, tokens) of documents that have tokens, written to the shared folder; with
+    ``before``, of either state of a document."""
     rows = _texts(docs) if before is None else _texts_before(docs, before)
     return materialise(rows.mapInArrow(lean(_sign), SIGNED).where("n > 0"), "simhash")
 
@@ -454,29 +454,37 @@ def verify(links: DataFrame, nodes: DataFrame, prints: DataFrame, jaccard: float
 
 def classes(docs: DataFrame, radius: int = RADIUS, jaccard: float = JACCARD, bucket: int = BUCKET, design: int = DESIGN, recall: float = RECALL, before: DataFrame | None = None) -> DataFrame:
     """(id, h, __file, __at, keep_id, keep_h, keep_file, keep_at, links): every document of a class of two or more, the one that
-    stays, and the number of verified links to other sets of tokens (of pairs within a class, not all are compared). ``before``: documents in an earlier state, whose texts count
-    where they have an id that stands once in both."""
+    stays, and the number of verified links to other sets of tokens (of pairs within a class, not all are compared). ``before``: documents in an earlier state, whose texts count,
+    beside those of now, where they have an id that stands once in both: documents alike in either state are linked."""
     prints = signed(docs, before)
     place = prints.metadataColumn("_metadata")
-    doc = F.struct("id", "h", FILE, AT)
-    key = ["s", *FP]
-    nodes = prints.select(*key, "n", doc.alias("doc"), F.struct(F.xxhash64(place["file_path"]).alias("file"), place["row_index"].alias("at")).alias("set"))
+    key, own = ["s", *FP], ["id", "h", FILE, AT]
+    nodes = prints.select(*key, "n", F.struct(F.xxhash64(place["file_path"]).alias("file"), place["row_index"].alias("at")).alias("set"))
     # the id of a node is written, so it stays
-    nodes = materialise(nodes.groupBy(*key).agg(F.min("doc").alias("first"), F.min("set").alias("set"), F.first("n").alias("n"), F.count(F.lit(1)).alias("copies")).withColumn("node", F.monotonically_increasing_id()), "simhash-nodes")
+    nodes = materialise(nodes.groupBy(*key).agg(F.min("set").alias("set"), F.first("n").alias("n")).withColumn("node", F.monotonically_increasing_id()), "simhash-nodes")
     links, rest = candidates(nodes, radius, bucket, design, recall)
     verified = verify(links, nodes, prints, jaccard)
-    roots = components(verified)
+    states = prints.select(*own, *key).join(nodes.select(*key, "node"), key).select(*own, "node")
+    states = materialise(states if before is None else states.distinct(), "simhash-states")
+    joined = verified
+    if before is not None:  # the two states of a document are of one class
+        pairs = states.groupBy(*own).agg(F.min("node").alias("a"), F.max("node").alias("b")).where("a < b").select("a", "b")
+        pairs = materialise(pairs, "simhash-same")
+        joined = verified.unionByName(pairs)
+    roots = components(joined)
     if (more := rest_links(nodes, roots, rest, radius)) is not None:
         more = verify(more.join(links, ["a", "b"], "left_anti"), nodes, prints, jaccard)
         if not more.isEmpty():
             verified = verified.unionByName(more)
-            roots = components(verified)
+            roots = components(joined.unionByName(more))
     degree = verified.select(F.explode(F.array("a", "b")).alias("node")).groupBy("node").agg(F.count(F.lit(1)).alias("links"))
-    found = nodes.join(roots, "node", "left").join(degree, "node", "left").select(*key, F.coalesce("root", "node").alias("root"), "first", "copies", F.coalesce("links", F.lit(0)).cast("bigint").alias("links"))
-    whole = found.groupBy("root").agg(F.min("first").alias("keep"), F.sum("copies").alias("size")).where("size > 1")
-    kept = found.join(whole, "root").select(*key, "keep", "links")
-    out = prints.select(*key, "id", "h", FILE, AT).join(kept, key)
-    return out.select("id", "h", FILE, AT, F.col("keep.id").alias("keep_id"), F.col("keep.h").alias("keep_h"), F.col(f"keep.{FILE}").alias("keep_file"), F.col(f"keep.{AT}").alias("keep_at"), "links")
+    each = states.join(roots, "node", "left").join(degree, "node", "left").select(*own, F.coalesce("root", "node").alias("root"), F.coalesce("links", F.lit(0)).cast("bigint").alias("links"))
+    if before is not None:
+        each = each.groupBy(*own).agg(F.min("root").alias("root"), F.sum("links").alias("links"))
+    each = materialise(each, "simhash-classes")
+    whole = each.groupBy("root").agg(F.min(F.struct(*own)).alias("keep"), F.count(F.lit(1)).alias("size")).where("size > 1")
+    out = each.join(whole, "root")
+    return out.select(*own, F.col("keep.id").alias("keep_id"), F.col("keep.h").alias("keep_h"), F.col(f"keep.{FILE}").alias("keep_file"), F.col(f"keep.{AT}").alias("keep_at"), "links")
 
 
 def duplicates(docs: DataFrame, **options) -> DataFrame:

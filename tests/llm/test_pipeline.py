@@ -1,7 +1,7 @@
 import random
 
 import corpus_pipeline
-from paperloom.llm import queries
+from paperloom.llm import queries, simhash
 from tests.llm.test_line_dedup import brute as brute_lines
 from tests.llm.test_mixing import brute as brute_mix
 from tests.llm.test_packing import _check
@@ -74,6 +74,22 @@ def test_run_on_odd_rows_and_an_empty_table(spark, tmp_path):
     assert corpus_pipeline.run(spark, empty).count() == 0
 
 
+def test_near_dedup_sees_what_line_dedup_left(spark, tmp_path):
+    """Texts that are alike only without the lines that went, and others that were alike only before; both are found."""
+    r = random.Random(5)
+    words = lambda n: [f"w{r.randrange(10**6)}" for _ in range(n)]
+    a, b, core, whole = words(60), words(60), words(40), words(60)
+    table = [(0, " ".join(a), "en", "a"), (1, " ".join(b), "en", "a"), (2, " ".join(a) + "\n" + " ".join(core), "en", "a"), (3, " ".join(b) + "\n" + " ".join([*core[1:], "else"]), "en", "a")]
+    table += [(4, " ".join(whole[:50]) + "\n" + " ".join(whole[50:]), "en", "a"), (5, " ".join(whole[:50]) + "\n" + " ".join([*whole[51:], "else"]), "en", "a")]
+    frame = docs(spark, table)
+    folder = _written(spark, tmp_path, frame)
+    now = corpus_pipeline.dedup_lines(spark, frame, folder)
+    assert {x["doc_id"]: x["text"] for x in now.collect()}[3] == " ".join([*core[1:], "else"])
+    classes = {x["id"]: x["keep_id"] for x in simhash.classes(now, before=frame).collect()}
+    assert classes == {2: 2, 3: 2, 4: 4, 5: 4}
+    assert sorted(x["doc_id"] for x in corpus_pipeline.near_dedup(spark, now, folder).collect()) == [0, 1, 2, 4]
+
+
 def test_every_operator_has_a_query():
     for n in range(1, 11):
         assert len([q for q in queries.QUERIES if q.startswith(f"op{n}_")]) == 1
