@@ -189,14 +189,20 @@ def _finder(path: str, kind: pa.DataType):
     return find
 
 
-def attach(rows: DataFrame, found: DataFrame, name: str) -> DataFrame:
-    """Rows (__file, __at, ...) with the value that ``found`` (file, at, value; a place once) has for their place, null for none.
-    A join that doesn't move the rows: ``found`` is shuffled to one file for each file of theirs, in which the tasks that read it
-    look rows up. Such a file has no more entries than the one it belongs to has rows."""
-    spark = rows.sparkSession
-    path = new_path(spark, "places")
+def finder(found: DataFrame):
+    """A function of Arrow arrays (__file, __at) that gives the value that ``found`` (file, at, value; a place once) has for each place, null
+    for none. ``found`` is shuffled to one file for each file of rows, in which the tasks that read it look rows up. Such a file has no
+    more entries than the one it belongs to has rows."""
+    path = new_path(found.sparkSession, "places")
     fs, at = pafs.FileSystem.from_uri(path)
     fs.create_dir(at, recursive=True)
-    kind = found.schema["value"].dataType
     found.select("file", "at", "value").repartition("file").sortWithinPartitions("file", "at").mapInArrow(lean(_place_writer(path)), "n bigint").agg(F.sum("n")).collect()
-    return rows.withColumn(name, F.arrow_udf(_finder(path, to_arrow_type(kind)), kind)(FILE, AT))
+    return _finder(path, to_arrow_type(found.schema["value"].dataType))
+
+
+def attach(rows: DataFrame, found: DataFrame, name: str) -> DataFrame:
+    """Rows (__file, __at, ...) with the value that ``found`` (file, at, value; a place once) has for their place, null for none.
+    A join that doesn't move the rows (``finder``)."""
+    # a filter on the value would be a second look-up, in a Python process of its own, if Spark might repeat it
+    look = F.arrow_udf(finder(found), found.schema["value"].dataType).asNondeterministic()
+    return rows.withColumn(name, look(FILE, AT))

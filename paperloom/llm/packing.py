@@ -20,9 +20,11 @@ import math
 from bisect import bisect_left, insort
 
 import numpy as np
+import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
+from pyspark.sql.pandas.types import to_arrow_schema
 
 from paperloom.llm.common import materialise, token_count
 
@@ -205,7 +207,10 @@ def pack(docs: DataFrame, capacity: int = CAPACITY, quantum: int = QUANTUM) -> D
     ranked = cut.withColumn("__rank", F.row_number().over(order).cast("bigint") - 1)
     ranked = ranked.join(F.broadcast(offsets), ["__units", "__salt"]).withColumn("__rank", F.col("__rank") + F.col("__before"))
     schema = T.StructType([T.StructField(k, T.LongType() if k != "__units" else T.IntegerType(), False) for k in ("__units", "__from", "__to", "__bin", "__each", "__at")])
-    slots = docs.sparkSession.createDataFrame(rows, schema)
+    # by Arrow: from a list, Spark would start Python processes of another kind on the executors, and keep them
+    kinds = to_arrow_schema(schema)
+    columns = list(zip(*rows, strict=True)) or [[] for _ in kinds]
+    slots = docs.sparkSession.createDataFrame(pa.Table.from_arrays([pa.array(c, f.type) for c, f in zip(columns, kinds, strict=True)], schema=kinds), schema)
     r = F.col("__rank") - F.col("__from")
     out = ranked.join(F.broadcast(slots), "__units").where((F.col("__rank") >= F.col("__from")) & (F.col("__rank") < F.col("__to")))
     return out.select((F.col("__bin") + F.call_function("div", r, F.col("__each"))).alias("bin"), ((F.col("__at") + r % F.col("__each") * F.col("__units")) * quantum).alias("start"), "doc_id", "piece", "n_tokens", "text")

@@ -39,7 +39,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from paperloom.llm.common import AT, FILE, LAST, ROW, attach, lean, located, materialise, unpacked
+from paperloom.llm.common import AT, FILE, LAST, ROW, attach, finder, lean, located, materialise, unpacked
 from paperloom.llm.components import components
 
 #: Words of 64 bits in a SimHash; with one, a radius that holds the pairs of a Jaccard of 0.7 would hold many others.
@@ -146,6 +146,20 @@ def _sign(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             at = to
 
 
+def _sign_known(find):
+    """Signs, of documents in their earlier state, those that have a place now, under what they are now (h, __file, __at). One step
+    looks them up and signs them: two would be two Python processes a task."""
+
+    def known(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            now = find(batch.column(FILE), batch.column(AT))
+            some = pc.is_valid(now)
+            now, batch = now.filter(some), batch.filter(some)
+            yield pa.RecordBatch.from_arrays([batch.column("id"), *(pc.struct_field(now, c) for c in ("h", FILE, AT)), batch.column("text")], ["id", "h", FILE, AT, "text"])
+
+    return lambda batches: _sign(known(batches))
+
+
 SIGNED = f"id bigint, h bigint, {FILE} bigint, {AT} bigint, {', '.join(f'{c} bigint' for c in FP)}, s bigint, n int, tokens array<int>"
 
 
@@ -155,20 +169,20 @@ def _texts(docs: DataFrame) -> DataFrame:
     return located(docs).select(F.coalesce(F.col(f"{ROW}.doc_id").cast("bigint"), F.lit(LAST)).alias("id"), F.xxhash64(text).alias("h"), FILE, AT, text.alias("text"))
 
 
-def _texts_before(docs: DataFrame, before: DataFrame) -> DataFrame:
-    """The rows of docs as ``_texts``; and where an id stands once in both and has another text in ``before``, once more with that."""
+def _signed_before(docs: DataFrame, before: DataFrame) -> DataFrame:
+    """The rows of docs, signed; and where an id stands once in both and has another text in ``before``, once more with that."""
     here, there = _texts(docs), _texts(before)
     once = lambda df, s: df.where(F.col("id") != LAST).groupBy("id").agg(F.count(F.lit(1)).alias("n"), F.min(F.struct("h", FILE, AT)).alias(s)).where("n = 1").select("id", s)
     both = materialise(once(here, "a").join(once(there, "b"), "id").where("a.h != b.h").select("a", "b"), "texts-before")
-    known = attach(there, both.select(F.col(f"b.{FILE}").alias("file"), F.col(f"b.{AT}").alias("at"), F.col("a").alias("value")), "__known").where("__known IS NOT NULL")
-    return here.unionByName(known.select("id", "__known.h", f"__known.{FILE}", f"__known.{AT}", "text"))
+    find = finder(both.select(F.col(f"b.{FILE}").alias("file"), F.col(f"b.{AT}").alias("at"), F.col("a").alias("value")))
+    return here.mapInArrow(lean(_sign), SIGNED).unionByName(there.mapInArrow(lean(_sign_known(find)), SIGNED))
 
 
 def signed(docs: DataFrame, before: DataFrame | None = None) -> DataFrame:
     """(id, h, __file, __at, fp0, ..., s, n, tokens) of documents that have tokens, written to the shared folder; with
     ``before``, of either state of a document."""
-    rows = _texts(docs) if before is None else _texts_before(docs, before)
-    return materialise(rows.mapInArrow(lean(_sign), SIGNED).where("n > 0"), "simhash")
+    rows = _texts(docs).mapInArrow(lean(_sign), SIGNED) if before is None else _signed_before(docs, before)
+    return materialise(rows.where("n > 0"), "simhash")
 
 
 def meet(depth: int, apart: int, bits: int = 64) -> float:
