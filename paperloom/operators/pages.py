@@ -9,6 +9,8 @@ from pyspark.sql import functions as F
 BOX = [f"{side}_in" for side in "xywh"]
 #: Words that chunks and paragraphs are joined on.
 GRAM = 3
+#: Paragraphs of a document up to which each of its chunks is compared with all of them.
+FEW = 64
 
 
 def _spread(sections: DataFrame) -> DataFrame:
@@ -120,18 +122,24 @@ def fuzzy_pages(chunks: DataFrame, sections: DataFrame, cap: int = 100) -> DataF
     return chunks.join(best, "key", "left")
 
 
-def chunk_boxes(chunks: DataFrame, paragraphs: DataFrame) -> DataFrame:
+def chunk_boxes(chunks: DataFrame, paragraphs: DataFrame, few: int = FEW) -> DataFrame:
     """Boxes (key, page, x_in, y_in, w_in, h_in) of the paragraphs (doc, normal, raw_length, page, box) that chunks (key, doc, normal; a
     key once) hold: of 40 characters or more, by their first 120, and from 200 characters on by those from 101 to 200, too.
 
-    What holds a paragraph's beginning holds its words from the second on as whole words: the first ``GRAM`` of them are what both
-    are joined on. Only beginnings of fewer words are compared with all chunks of their document."""
-    p = paragraphs.where("raw_length >= 40 AND length(normal) >= 40 AND page > 0 AND x_in IS NOT NULL").select("doc", F.substring("normal", 1, 200).alias("head"), "page", *BOX)
-    p = p.withColumn("__w", F.split(F.substring("head", 1, 120), " ")).withColumn("gram", F.when(F.size("__w") >= GRAM + 2, F.xxhash64(F.array_join(F.slice("__w", F.lit(2), F.lit(GRAM)), " ")))).drop("__w")
-    c = chunks.select("key", "doc", F.col("normal").alias("chunk"))
-    words = c.select("key", "doc", F.split("chunk", " ").alias("w")).where(F.size("w") >= GRAM)
+    Documents of up to ``few`` paragraphs are joined as they are, so a chunk meets no more than these. In others, what holds a
+    paragraph's beginning holds its words from the second on as whole words: the first ``GRAM`` of them are what both are joined on. Only
+    beginnings of fewer words are compared with all chunks of their document. Texts may be far larger than the planner takes them
+    to be, so nothing is broadcast."""
+    p = paragraphs.where("doc IS NOT NULL AND raw_length >= 40 AND length(normal) >= 40 AND page > 0 AND x_in IS NOT NULL").select("doc", F.substring("normal", 1, 200).alias("head"), "page", *BOX)
+    p = p.withColumn("__n", F.count(F.lit(1)).over(Window.partitionBy("doc")))
+    c = chunks.where("doc IS NOT NULL").select("key", "doc", F.col("normal").alias("chunk"))
+    light, heavy = p.where(F.col("__n") <= few).drop("__n"), p.where(F.col("__n") > few).drop("__n")
+    near = c.join(light.hint("merge"), "doc")
+    rest = c.join(heavy.select("doc").distinct().hint("merge"), "doc", "left_semi")
+    heavy = heavy.withColumn("__w", F.split(F.substring("head", 1, 120), " ")).withColumn("gram", F.when(F.size("__w") >= GRAM + 2, F.xxhash64(F.array_join(F.slice("__w", F.lit(2), F.lit(GRAM)), " ")))).drop("__w")
+    words = rest.select("key", "doc", F.split("chunk", " ").alias("w")).where(F.size("w") >= GRAM)
     grams = F.transform(F.sequence(F.lit(1), F.size("w") - (GRAM - 1)), lambda i: F.xxhash64(F.array_join(F.slice("w", i, F.lit(GRAM)), " ")))
-    met = words.select("key", "doc", F.explode(F.array_distinct(grams)).alias("gram")).join(p.where("gram IS NOT NULL"), ["doc", "gram"]).drop("gram", "doc").join(c.drop("doc"), "key")
-    few = c.join(p.where("gram IS NULL").drop("gram"), "doc").drop("doc")
+    met = words.select("key", "doc", F.explode(F.array_distinct(grams)).alias("gram")).join(heavy.where("gram IS NOT NULL").hint("merge"), ["doc", "gram"]).drop("gram").join(rest.hint("merge"), ["key", "doc"])
+    short = rest.join(heavy.where("gram IS NULL").drop("gram").hint("merge"), "doc")
     hit = F.contains("chunk", F.substring("head", 1, 120)) & ((F.length("head") < 200) | F.contains("chunk", F.substring("head", 101, 100)))
-    return met.unionByName(few).where(hit).select("key", "page", *BOX)
+    return near.unionByName(met).unionByName(short).where(hit).select("key", "page", *BOX)
