@@ -27,16 +27,21 @@ def section_for_page(entities: DataFrame, sections: DataFrame) -> DataFrame:
 
 def section_for_range(entities: DataFrame, sections: DataFrame, key: str) -> DataFrame:
     """Entities (key, doc, page, page_to) with the section that holds their range: the tightest that holds all of it, else the
-    real one with most of its pages, the smaller index where equal. Ranges of one page go by their page."""
-    spans = entities.select(key, "doc", "page", F.greatest(F.coalesce("page_to", "page"), F.col("page")).alias("page_to"))
-    each = spans.select("*", F.explode(F.sequence("page", "page_to")).alias("p")).alias("e")
-    pages = _spread(sections).withColumnRenamed("page", "p")
-    met = each.join(pages, ["doc", "p"]).groupBy(key, "page", "page_to", "section_idx", "rank").agg(F.count(F.lit(1)).alias("met"))
-    whole = F.col("met") == F.col("page_to") - F.col("page") + 1
-    tight = F.struct(F.lit(0).alias("tier"), F.col("rank.orphan").alias("a"), F.col("rank.span").cast("bigint").alias("b"), F.col("rank.turned").cast("bigint").alias("c"))
-    most = F.struct(F.lit(1).alias("tier"), F.col("rank.orphan").alias("a"), (-F.col("met")).alias("b"), F.col("section_idx").cast("bigint").alias("c"))
-    best = met.groupBy(key).agg(F.min_by("section_idx", F.when(whole, tight).otherwise(most)).alias("section_idx"))
-    return entities.join(best, key, "left")
+    real one with most of its pages, the smaller index where equal. Ranges of one page go by their page. Rows of one key share what is best for any of them.
+
+    Ranges that occur often are settled once, and of sections with the same pages only the least and the largest index can win.
+    A range and a section that meet do so where the later of them begins, so each pair is met once, and folded where it is met."""
+    to = F.greatest(F.coalesce("page_to", "page"), F.col("page"))
+    spans = entities.select("doc", "page", to.alias("__to")).where("doc IS NOT NULL AND page IS NOT NULL").distinct()
+    kinds = sections.where("page_start <= page_end").groupBy("doc", "page_start", "page_end", F.coalesce("is_orphan", F.lit(False)).cast("int").alias("orphan")).agg(F.min("section_idx").alias("least"), F.max("section_idx").alias("most"))
+    over = spans.join(kinds.select("*", F.explode(F.sequence("page_start", "page_end")).alias("page")), ["doc", "page"])
+    later = spans.where("page < __to").select("*", F.explode(F.sequence(F.col("page") + 1, F.col("__to"))).alias("page_start")).join(kinds, ["doc", "page_start"])
+    met = F.least("page_end", "__to") - F.greatest("page", "page_start") + 1
+    rank = lambda tier, b, c, index: F.struct(F.lit(tier).alias("tier"), F.col("orphan").alias("a"), b.cast("bigint").alias("b"), c.cast("bigint").alias("c"), F.col(index).alias("section_idx"))
+    tight = rank(0, F.col("page_end") - F.col("page_start"), -F.col("most"), "most")
+    best = over.unionByName(later).groupBy("doc", "page", "__to").agg(F.min(F.when(met == F.col("__to") - F.col("page") + 1, tight).otherwise(rank(1, -met, F.col("least"), "least"))).alias("__best"))
+    found = entities.withColumn("__to", to).join(best, ["doc", "page", "__to"], "left")
+    return found.select(*[F.col(f"`{c}`") for c in entities.columns], F.when(F.col(key).isNotNull(), F.min("__best").over(Window.partitionBy(key))["section_idx"]).alias("section_idx"))
 
 
 def as_of(probes: DataFrame, events: DataFrame, keys: list[str], order: str, value: str) -> DataFrame:

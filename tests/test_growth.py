@@ -1,5 +1,7 @@
 """That operators' work grows no faster than their input: plans, counts of expressions, and results by other ways."""
 
+import random
+
 import pytest
 
 from paperloom.operators import pages
@@ -26,3 +28,38 @@ def test_chunk_boxes_of_large_and_small_documents(spark, few):
 
 def test_chunk_boxes_broadcasts_no_texts(spark):
     assert "BroadcastExchange" not in plan(QUERIES["chunk_boxes"](spark, SMALL))
+
+
+def best_section(doc, lo, hi, sections):
+    hi = max(lo if hi is None else hi, lo)
+    ranks = []
+    for d, idx, a, b, orphan in sections:
+        if d == doc and a <= hi and b >= lo:
+            n = min(b, hi) - max(a, lo) + 1
+            ranks.append((0, bool(orphan), b - a, -idx, idx) if n == hi - lo + 1 else (1, bool(orphan), -n, idx, idx))
+    return min(ranks, default=None)
+
+
+def test_sections_of_repeated_ranges_against_brute_force(spark):
+    r = random.Random(2)
+    secs = [(r.randrange(3), i, (a := r.randrange(1, 20)), a + r.randrange(-1, 8), r.choice([None, True, False])) for i in range(150)]
+    ents = [(i // 2 if i > 180 else i, r.choice([None, 0, 1, 2, 3]), (a := r.randrange(1, 24)), r.choice([None, a + r.randrange(-2, 9)])) for i in range(200)]
+    kinds = [s for s in secs if s[2] <= s[3]]
+    best = {}
+    for k, d, a, b in ents:
+        if (x := best_section(d, a, b, kinds)) is not None:
+            best[k] = min(x, best.get(k, x))
+    ents += [(None, 1, 3, 5), (500, 1, None, 4)]
+    es, ss = spark.createDataFrame(ents, "key int, doc int, page int, page_to int"), spark.createDataFrame(secs, "doc int, section_idx int, page_start int, page_end int, is_orphan boolean")
+    got = pages.section_for_range(es, ss, "key")
+    assert got.columns == [*es.columns, "section_idx"]
+    want = [(k, d, a, b, best[k][4] if k in best else None) for k, d, a, b in ents]
+    order = lambda rows: sorted(rows, key=str)
+    assert order(map(tuple, got.collect())) == order(want)
+
+
+def test_sections_of_ranges_shuffle_no_pairs(spark):
+    """Every pair of a range and a section lies behind one grouping of its range, none behind one of its entity and section."""
+    es, ss = spark.createDataFrame([(1, 0, 3, 5)], "key int, doc int, page int, page_to int"), spark.createDataFrame([(0, 1, 1, 3, False)], "doc int, section_idx int, page_start int, page_end int, is_orphan boolean")
+    keyed = [x for x in pages.section_for_range(es, ss, "key")._jdf.queryExecution().optimizedPlan().toString().split("\n") if "Aggregate [" in x and "key#" in x.split("],")[0]]
+    assert keyed == []
