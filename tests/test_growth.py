@@ -1,10 +1,13 @@
 """That operators' work grows no faster than their input: plans, counts of expressions, and results by other ways."""
 
 import random
+import re
 
 import pytest
+from pyspark.sql import functions as F
 
-from paperloom.operators import pages
+from paperloom.functions import markers, text
+from paperloom.operators import pages, semantic, tables
 from paperloom.plans import QUERIES
 
 SMALL = "/root/testdata/sf0.001"
@@ -63,3 +66,44 @@ def test_sections_of_ranges_shuffle_no_pairs(spark):
     es, ss = spark.createDataFrame([(1, 0, 3, 5)], "key int, doc int, page int, page_to int"), spark.createDataFrame([(0, 1, 1, 3, False)], "doc int, section_idx int, page_start int, page_end int, is_orphan boolean")
     keyed = [x for x in pages.section_for_range(es, ss, "key")._jdf.queryExecution().optimizedPlan().toString().split("\n") if "Aggregate [" in x and "key#" in x.split("],")[0]]
     assert keyed == []
+
+
+def test_strip_is_that_of_the_pattern(spark):
+    chars = spark.range(1, 0x10000).where("id NOT BETWEEN 55296 AND 57343").select(F.decode(F.unhex(F.lpad(F.hex("id"), 4, "0")), "UTF-16BE").alias("c")).select(F.concat("c", "c", F.lit("x \n"), "c", F.lit("y"), "c", F.lit("\n")).alias("t"))
+    by_pattern = F.regexp_replace("t", "(?dU)^\\s+|\\s+$", "")
+    assert chars.where(text.strip(F.col("t")) != by_pattern).count() == 0 and chars.where(text.strip(F.col("t")) != F.col("t")).count() == 65536 - 2048 - 1
+
+
+def test_patterns_find_the_same_behind_their_heads(spark):
+    said = "See ſection 4.1, SECTION 5-2, §6 and xSec. 7; FIGURE 3 fig. 4-2 Fig7 refig 3 éfig 3; Table A-1 tbl 4 stable 3; EQ. 1.2 eq 3; Pages 3, p. A-1 PP. 9; GE-THQL-1 aGE-TX1 ÉGE-T1; WARNING: hot caution – wet xNote: no note: yes\nDANGER: x\nNotice - y"
+    df = spark.createDataFrame([(said + "\n" + said[::-1],)], "t string")
+    for p in text.HEADS:
+        for g in (0, 1):
+            if g <= re.compile(p).groups:
+                a, b = df.select(F.regexp_extract_all("t", text.pattern(p), F.lit(g)), F.regexp_extract_all("t", F.lit(text.U + p), F.lit(g))).first()
+                assert a == b and a, p
+
+
+@pytest.mark.parametrize(
+    ("most", "make"),
+    [
+        (60, lambda t: markers.page_span(t, F.concat(t, t), F.lit(3))),
+        (12, text.strip_running),
+        (40, text.printed_label),
+        (12, text.is_toc_like),
+        (25, None),
+    ],
+)
+def test_expressions_are_computed_once(spark, most, make):
+    """How often the plan has the patterns of an operator: named again, an expression runs again, and within its own, that often more."""
+    df = spark.createDataFrame([("x",)], "chunk string")
+    blank = [F.lit("").alias(c) for c in ("source_file", "header_1", "header_2", "header_3", "printed_page_label", "figure_ref", "table_ref")]
+    out = semantic.semantic_text(df.select("chunk", *blank)) if most == 25 else df.select(make(F.col("chunk")).alias("x"))
+    assert len(re.findall(r"\(\?dU\)", out._jdf.queryExecution().optimizedPlan().toJSON())) <= most
+
+
+def test_lines_end_where_the_pattern_says(spark):
+    ends = ["\r\n", *"\n\r\x0b\x0c\x1c\x1d\x1e\x85\u2028\u2029"]
+    df = spark.createDataFrame([("".join(f" w{i}{a}v{i} {b}" for i, a in enumerate(ends) for b in ends) + "x\r\r\n\n\ry\u2027z",), ("",), (None,)], "t string")
+    by_pattern = F.filter(F.transform(F.split("t", "\\r\\n|[\\n\\r\\x0b\\x0c\\x1c-\\x1e\\x85\\u2028\\u2029]"), text.strip), lambda x: x != "")
+    assert [r[0] for r in df.select(text.lines(F.col("t"))).collect()] == [r[0] for r in df.select(by_pattern).collect()]
