@@ -10,11 +10,12 @@ from paperloom.functions import text
 
 def semantic_text(df: DataFrame) -> DataFrame:
     """The line-by-line form of a chunk that is embedded; empty lines are left out."""
-    line = lambda label, value: F.when(value != "", F.concat(F.lit(label), value))
-    refs = F.concat_ws(" | ", F.nullif("figure_ref", F.lit("")), F.nullif("table_ref", F.lit("")), F.nullif(F.array_join(text.equation_refs(F.col("chunk")), ", "), F.lit("")), F.nullif(F.array_join(F.transform(text.section_refs(F.col("chunk")), lambda s: F.concat(F.lit("Section "), s)), ", "), F.lit("")))
+    line = lambda label, value: text.let(value, lambda v: F.when(v != "", F.concat(F.lit(label), v)))
+    some = lambda value: line("", value)
+    refs = F.concat_ws(" | ", F.nullif("figure_ref", F.lit("")), F.nullif("table_ref", F.lit("")), some(F.array_join(text.equation_refs(F.col("chunk")), ", ")), some(F.array_join(F.transform(text.section_refs(F.col("chunk")), lambda s: F.concat(F.lit("Section "), s)), ", ")))
     path = F.concat_ws(" > ", *[F.nullif(h, F.lit("")) for h in ("header_1", "header_2", "header_3")])
     body = text.strip(text.strip_inline_tables(text.strip_running(F.col("chunk"))))
-    parts = (line("Source: ", F.col("source_file")), line("Section: ", path), line("Page: ", F.col("printed_page_label")), line("References: ", refs), line("Callouts: ", F.array_join(text.callouts(F.col("chunk")), " || ")), F.nullif(body, F.lit("")))
+    parts = (line("Source: ", F.col("source_file")), line("Section: ", path), line("Page: ", F.col("printed_page_label")), line("References: ", refs), line("Callouts: ", F.array_join(text.callouts(F.col("chunk")), " || ")), some(body))
     return df.withColumn("chunk_for_semantic", F.concat_ws("\n", *parts))
 
 
