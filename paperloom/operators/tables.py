@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from paperloom.functions.text import let
+
 MAX_ROWS, MAX_COLS = 5000, 200
 CHUNK = 3000
 ROW_RECORDS = (5, 5000)
@@ -35,11 +37,21 @@ def grid_cells(cells: DataFrame) -> DataFrame:
 
 
 def grids(cells: DataFrame) -> DataFrame:
-    """(table_id, grid): the full grid of each table, '' where no cell is."""
-    size = cells.groupBy("table_id").agg(F.max("rows").alias("rows"), F.max("cols").alias("cols"))
-    filled = grid_cells(cells).groupBy("table_id").agg(F.map_from_entries(F.collect_list(F.struct((F.col("row") * MAX_COLS + F.col("col")).alias("k"), "text"))).alias("at"))
-    line = lambda r: F.transform(F.sequence(F.lit(0), F.col("cols") - 1), lambda c: F.coalesce(F.try_element_at(F.col("at"), r * MAX_COLS + c), F.lit("")))
-    return size.join(filled, "table_id").select("table_id", F.transform(F.sequence(F.lit(0), F.col("rows") - 1), line).alias("grid"))
+    """(table_id, grid): the full grid of each table, '' where no cell is. Cells are shuffled once, as they come; the places that spans fill
+    are spread and settled within their table, in one sort."""
+    first = lambda at: F.greatest(F.col(at), F.lit(0))
+    last = lambda at, span, n: F.least(F.col(at) + F.greatest(F.coalesce(F.col(span), F.lit(1)), F.lit(1)) - 1, F.col(n) - 1)
+    box = F.struct(first("r").alias("r0"), last("r", "rs", "rows").alias("r1"), first("c").alias("c0"), last("c", "cs", "cols").alias("c1"), "pos", "text")
+    fit = (F.col("rows") <= MAX_ROWS) & (F.col("cols") <= MAX_COLS) & F.col("r").isNotNull() & F.col("c").isNotNull() & (box["r0"] <= box["r1"]) & (box["c0"] <= box["c1"])
+    each = cells.where("table_id IS NOT NULL").groupBy("table_id").agg(F.max("rows").alias("rows"), F.max("cols").alias("cols"), F.collect_list(F.when(fit, box)).alias("cells")).where(F.size("cells") > 0)
+    place = lambda k, cell, pos, text: F.struct(k.cast("bigint").alias("k"), F.lit(cell).alias("cell"), pos.cast(cells.schema["pos"].dataType).alias("pos"), text.cast("string").alias("text"))
+    line = lambda x, r: F.transform(F.sequence(x["c0"], x["c1"]), lambda c: place(r * F.col("cols") + c, 1, x["pos"], x["text"]))
+    filled = F.flatten(F.transform("cells", lambda x: F.flatten(F.transform(F.sequence(x["r0"], x["r1"]), lambda r: line(x, r)))))
+    blank = F.transform(F.sequence(F.lit(0), F.col("rows") * F.col("cols") - 1), lambda k: place(k, 0, F.lit(None), F.lit(None)))
+    # the last of a place wins, so any cell before the blank
+    won = let(F.sort_array(F.concat(blank, filled)), lambda ps: F.filter(ps, lambda x, i: F.coalesce(F.get(ps, i + 1)["k"] != x["k"], F.lit(True))))
+    texts = F.transform(won, lambda x: F.when(x["cell"] == 0, "").otherwise(escape(x["text"])))
+    return each.select("table_id", let(texts, lambda ts: F.transform(F.sequence(F.lit(0), F.col("rows") - 1), lambda r: F.slice(ts, r * F.col("cols") + 1, F.col("cols")))).alias("grid"))
 
 
 def header_rows(cells: DataFrame) -> DataFrame:

@@ -107,3 +107,30 @@ def test_lines_end_where_the_pattern_says(spark):
     df = spark.createDataFrame([("".join(f" w{i}{a}v{i} {b}" for i, a in enumerate(ends) for b in ends) + "x\r\r\n\n\ry\u2027z",), ("",), (None,)], "t string")
     by_pattern = F.filter(F.transform(F.split("t", "\\r\\n|[\\n\\r\\x0b\\x0c\\x1c-\\x1e\\x85\\u2028\\u2029]"), text.strip), lambda x: x != "")
     assert [r[0] for r in df.select(text.lines(F.col("t"))).collect()] == [r[0] for r in df.select(by_pattern).collect()]
+
+
+def test_grids_against_brute_force(spark):
+    r = random.Random(9)
+    cells = [(r.choice([None, *range(12)]), r.choice([None, *range(30)]), r.choice([None, *range(-1, 6)]), r.randrange(-1, 5), r.choice([None, 0, 1, 3]), r.choice([None, 1, 2, 9]), r.choice([None, "", f"v{i}", "a|b\nc"]), *((9000, 4) if i % 40 == 0 else (5, 4))) for i in range(200)]
+    cells = [c for c in cells if c[0] is None or c[0] % 6 or c[7] == 5]  # a table of 9000 rows beside those of 5 only by itself
+    cells = [(*c[:7], 9000, 4) if c[0] == 6 else (*c[:7], 5, 4) for c in cells] + [(50, 1, 9, 9, 1, 1, "outside", 5, 4)]
+    at, low = {}, lambda x: (x is not None, x)
+    for t, pos, row, col, rs, cs, text_, rows, cols in cells:
+        if t is not None and row is not None and rows <= tables.MAX_ROWS:
+            for y in range(row, row + max(1 if rs is None else rs, 1)):
+                for x in range(col, col + max(1 if cs is None else cs, 1)):
+                    if 0 <= y < rows and 0 <= x < cols:
+                        now = (low(pos), low(text_))
+                        at.setdefault(t, {})[y, x] = max(now, at.get(t, {}).get((y, x), now))
+    show = lambda v: " ".join((v[1][1] or "").split("\n")).replace("|", "\\|") if v else ""
+    want = {t: [[show(g.get((y, x))) for x in range(4)] for y in range(5)] for t, g in at.items()}
+    df = spark.createDataFrame(cells, "table_id int, pos int, r int, c int, rs int, cs int, text string, rows int, cols int")
+    assert {x["table_id"]: x["grid"] for x in tables.grids(df).collect()} == want and len(want) > 8
+    assert plan(tables.grids(df)).count("Exchange hashpartitioning") == 1
+
+
+def test_no_sketch_for_each_user(spark):
+    """The estimate's buffers stand in aggregates by type alone."""
+    out = QUERIES["ext_approx_distinct"](spark, SMALL)
+    by_user = [x for x in plan(out).split("\n") if "Aggregate(keys=[" in x and "user_id" in x.split("]")[0]]
+    assert by_user and not any("approx_count_distinct" in x for x in by_user)
